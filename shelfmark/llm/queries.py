@@ -72,16 +72,11 @@ SELECT group_key, field, data_id FROM long WHERE group_key IN (SELECT group_key
 QUALIFY row_number() OVER (PARTITION BY group_key, field ORDER BY sort_key NULLS LAST, updated_at DESC, data_id) = 1
 """
 
-_ONE = {k: v for k, v in forms.same_sign().items() if len(v) == 1}
-_MANY = {k: v for k, v in forms.same_sign().items() if len(v) > 1 and ord(k) < 0x10000}
 
-
-def _form_sql(column: str, letters: bool) -> str:
+def _form_sql(column: str) -> str:
     """skeleton() in SQL, composed."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     src, dst, many, inv = forms._tables()
-    if not letters:
-        src, dst, many = "".join(_ONE), "".join(_ONE.values()), _MANY
     x = f"translate(regexp_replace({column}, {q(inv)}, '', 'g'), {q(src)}, {q(dst)})"
     for k, v in sorted(many.items()):
         x = f"replace({x}, {q(k)}, {q(v)})"
@@ -89,7 +84,7 @@ def _form_sql(column: str, letters: bool) -> str:
 
 
 P3 = f"""
-WITH v AS (SELECT DISTINCT title, {_form_sql("title", True)} AS form FROM dedup_records WHERE title IS NOT NULL),
+WITH v AS (SELECT DISTINCT title, {_form_sql("title")} AS form FROM dedup_records WHERE title IS NOT NULL),
 many AS (SELECT form FROM v GROUP BY form HAVING count(*) > 1),
 m AS (SELECT DISTINCT r.data_id, v.title, v.form FROM dedup_records r JOIN v ON r.title = v.title JOIN many ON v.form = many.form)
 SELECT DISTINCT a.data_id AS data_id_a, b.data_id AS data_id_b
@@ -97,25 +92,5 @@ FROM m a JOIN m b ON a.form = b.form AND a.title <> b.title AND a.data_id < b.da
 """
 
 
-def _comparable_sql(column: str) -> str:
-    return f"regexp_replace(lower({_form_sql(column, False)}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
-
-
-P5 = f"""
-WITH s AS (
-  SELECT DISTINCT data_id, batch, lower(ext) AS ext, bytes, {_comparable_sql("title")} AS t,
-    {_comparable_sql("regexp_replace(regexp_extract(relative_path, '([^/' || chr(92) || chr(92) || ']*)$', 1), '[.][^.]*$', '')")} AS f
-  FROM scan_batches WHERE bytes IS NOT NULL
-), k AS (
-  SELECT *, regexp_replace(t, '[^0-9{batches.NUMERALS}]', '', 'g') AS tn, regexp_replace(f, '[^0-9{batches.NUMERALS}]', '', 'g') AS fn,
-    CAST(floor(ln(bytes) / 0.00501254182354) AS BIGINT) AS sr FROM s
-), near AS (SELECT *, unnest([sr - 1, sr, sr + 1]) AS nr FROM k)
-SELECT DISTINCT least(a.data_id, b.data_id) AS data_id_a, greatest(a.data_id, b.data_id) AS data_id_b
-FROM near a JOIN k b ON a.nr = b.sr AND a.ext = b.ext AND a.batch <> b.batch AND a.data_id <> b.data_id
-  AND abs(a.bytes - b.bytes) <= 0.005 * greatest(a.bytes, b.bytes)
-  AND ((a.tn = b.tn AND a.t <> '' AND b.t <> '' AND levenshtein(a.t, b.t) <= 2) OR (a.fn = b.fn AND a.f <> '' AND b.f <> '' AND levenshtein(a.f, b.f) <= 2))
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p3_found": P3, "p5_found": P5}
+    return {"p1_found": P1, "p3_found": P3}

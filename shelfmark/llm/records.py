@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.session import cut
 from shelfmark.functions.text import blank, letters
 from shelfmark.llm.forms import skeleton
 
@@ -79,28 +80,23 @@ def copies(df: DataFrame, key: str = "data_id", title: str = "title", size: str
     Two records are copies if size (null as 0), title letters (in some order of the title's parts) and the
     listed paths' letters (in any order) agree. Records written alike in full are copies. Rows of one key that agree count once.
 
-    The root digests are aggregated with partial sums, so a class of any size is a few numbers per task; members are
-    joined back on the digest, where adaptive execution splits a hot class. The join compares the whole normalised structure
-    with the class's first member. What shares a digest but differs in the order of letters goes through the orders of its
-    title's parts, again by aggregation. Null and empty title or paths are equal to each other. Rows with a null key are left
-    out; an empty table gives an empty result; other columns are not read.
+    The root digests are aggregated to the least and greatest key with partial sums, so a class of any size is two numbers per task.
+    Records whose digest another key shares are fetched again and written to the checkpoint folder; they are compared by their
+    whole normalised structure: two have one if they share size, paths and the title's letters under some order of the parts that
+    either of them marks. A title without any mark left is so linked by one that has it. Null and empty title or paths are
+    equal to each other. Rows with a null key are left out; an empty table gives an empty result; other columns are not read.
     """
-    cols = {"k": F.col(key).cast("bigint"), "t": F.col(title), "b": F.col(size), "p": F.col(paths)}
-    rows = structure(df.where(F.col(key).isNotNull()).select(*[c.alias(n) for n, c in cols.items()]), "t", "b", "p")
-    tree = F.struct("_flat", "_paths", "_bytes")
-    roots = rows.groupBy("_root").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.min(tree).alias("least"), F.max(tree).alias("most")).where((F.col("lo") < F.col("hi")) | (F.col("least") != F.col("most")))
-    # one structure under the digest: the class is done
-    plain = roots.where((F.col("least") == F.col("most")) & (F.col("lo") < F.col("hi"))).select("_root", F.col("lo").alias("first"))
-    same = rows.select("_root", "k").join(plain, "_root").where("k > first").select("first", "k")
-    # several: part orders link the structures; a title without any mark left is linked by one that has it
-    mixed = rows.join(roots.where(F.col("least") != F.col("most")).select("_root"), "_root", "left_semi")
-    ways = mixed.select("_root", "k", "_flat", "_bytes", "_paths", F.array_union(F.array("_flat"), _orders(title_parts("t"))).alias("ways")).withColumn("least", F.array_min("ways"))
-    keyed = ways.select("_root", "_bytes", "_paths", "k", "least", F.explode("ways").alias("way"))
-    labels = keyed.groupBy("_root", "_bytes", "_paths", "way").agg(F.min("least").alias("label"))
-    member = keyed.join(labels, ["_root", "_bytes", "_paths", "way"]).groupBy("_root", "_bytes", "_paths", "k").agg(F.min("label").alias("label"))
-    firsts = member.groupBy("_root", "_bytes", "_paths", "label").agg(F.min("k").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    ordered = member.join(firsts, ["_root", "_bytes", "_paths", "label"]).where("k > first").select("first", "k")
-    return same.unionByName(ordered).distinct().select(F.col("first").alias(f"first_{key}"), F.col("k").alias(key))
+    rows = structure(df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("k"), F.col(title).alias("t"), F.col(size).alias("b"), F.col(paths).alias("p")), "t", "b", "p")
+    shared = rows.groupBy("_root").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("_root")
+    parts = title_parts("t")
+    ways = F.when(F.size(parts) > 1, F.array_union(F.array("_flat"), _orders(parts))).otherwise(F.array("_flat"))
+    suspects = cut(rows.join(shared, "_root", "left_semi").select("k", "_bytes", "_paths", ways.alias("ways")))
+    keyed = suspects.select("k", "_bytes", "_paths", F.array_min("ways").alias("least"), F.explode("ways").alias("way"))
+    labels = keyed.groupBy("_bytes", "_paths", "way").agg(F.min("least").alias("label"))
+    member = keyed.join(labels, ["_bytes", "_paths", "way"]).groupBy("_bytes", "_paths", "k").agg(F.min("label").alias("label"))
+    firsts = member.groupBy("_bytes", "_paths", "label").agg(F.min("k").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    found = member.join(firsts, ["_bytes", "_paths", "label"]).where("k > first")
+    return found.select(F.col("first").alias(f"first_{key}"), F.col("k").alias(key)).distinct()
 
 
 def collapse(df: DataFrame, key: str = "data_id", title: str = "title", size: str = "bytes", paths: str = "init_path") -> DataFrame:
