@@ -47,7 +47,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return splitting.split_documents(table(spark, d, "documents"), table(spark, d, "size_limits"))
+    return splitting.split_documents(table(spark, d, "documents"), table(spark, d, "size_limits"), with_text=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
