@@ -73,20 +73,20 @@ def book_key(title: Column | str, author: Column | str) -> Column:
 
 def file_name(path: Column | str) -> Column:
     """Last component of a path with either kind of slash."""
-    return F.regexp_extract(blank(path), r"([^/\\]*)$", 1)
+    return F.regexp_extract(blank(path), r"([^/\\]*)\z", 1)
 
 
 def path_stem(path: Column | str) -> Column:
     """The stem of a usable file path, else null: one with a stem, a dot and a suffix. A leading dot starts no suffix."""
     name = strip(file_name(path))
-    stem = strip(F.regexp_extract(name, r"^(.+)\.[^.]+$", 1))
+    stem = strip(F.regexp_extract(name, r"(?s)^(.+)\.[^.]+\z", 1))
     return F.when(stem != "", stem)
 
 
 def path_suffix(path: Column | str) -> Column:
     """Lower-case suffix of a usable file path, else null."""
     name = strip(file_name(path))
-    suffix = F.lower(F.regexp_extract(name, r"^.+\.([^.]+)$", 1))
+    suffix = F.lower(F.regexp_extract(name, r"(?s)^.+\.([^.]+)\z", 1))
     return F.when(suffix != "", suffix)
 
 

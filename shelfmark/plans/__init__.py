@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("problems",)
+MODULES = ("problems", "cleaning", "linking")
 
 
 def modules() -> list[ModuleType]:
