@@ -46,8 +46,8 @@ def normalize_title(c: Column | str) -> Column:
 
 
 def fold_case(c: Column | str) -> Column:
-    """Case-insensitive form; upper() first so that a sharp s equals SS."""
-    return F.lower(F.upper(col(c)))
+    """Case-insensitive form, in which a sharp s equals SS (upper() maps single characters only)."""
+    return F.replace(F.lower(F.upper(col(c))), F.lit("ß"), F.lit("ss"))
 
 
 def letters(c: Column | str) -> Column:
