@@ -88,10 +88,9 @@ def copies(df: DataFrame, key: str = "data_id", title: str = "title", size: str
     """
     rows = structure(df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("k"), F.col(title).alias("t"), F.col(size).alias("b"), F.col(paths).alias("p")), "t", "b", "p")
     shared = rows.groupBy("_root").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("_root")
-    parts = title_parts("t")
-    ways = F.when(F.size(parts) > 1, F.array_union(F.array("_flat"), _orders(parts))).otherwise(F.array("_flat"))
-    suspects = cut(rows.join(shared, "_root", "left_semi").select("k", "_bytes", "_paths", ways.alias("ways")))
-    keyed = suspects.select("k", "_bytes", "_paths", F.array_min("ways").alias("least"), F.explode("ways").alias("way"))
+    suspects = cut(rows.join(shared, "_root", "left_semi").select("k", "_flat", "_bytes", "_paths", title_parts("t").alias("parts")))
+    ways = F.when(F.size("parts") > 1, F.array_union(F.array("_flat"), _orders(F.col("parts")))).otherwise(F.array("_flat"))
+    keyed = suspects.select("k", "_bytes", "_paths", ways.alias("ways")).select("k", "_bytes", "_paths", F.array_min("ways").alias("least"), F.explode("ways").alias("way"))
     labels = keyed.groupBy("_bytes", "_paths", "way").agg(F.min("least").alias("label"))
     member = keyed.join(labels, ["_bytes", "_paths", "way"]).groupBy("_bytes", "_paths", "k").agg(F.min("label").alias("label"))
     firsts = member.groupBy("_bytes", "_paths", "label").agg(F.min("k").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
