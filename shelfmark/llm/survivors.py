@@ -120,12 +120,14 @@ def survivors(df: DataFrame, group: str = "group_key", key: str = "data_id", ran
         pairs = learned.get(f) or {-1: 0}
         return F.when(ok[f], F.coalesce(F.element_at(F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())]), kind[f]), F.lit(0))).otherwise(-1)
 
-    micros = F.unix_micros("ts")
-    total = sum((level(f) for f in fields[1:]), level(fields[0]))
+    # each value judged once: null where it is none, with its level
+    judged = base.select("g", "k", "r", "ts", *[F.when(ok[f], F.col(f"f_{f}").cast("string")).alias(f"v_{f}") for f in fields], *[level(f).alias(f"l_{f}") for f in fields])
+    total = sum((F.col(f"l_{f}") for f in fields[1:]), F.col(f"l_{fields[0]}"))
+    kept = [c for f in fields for c in (f"v_{f}", f"l_{f}")]
     # one row per record: stamped before unstamped, then the latest, then the highest level, then by content so that ties are settled
-    row = F.struct(F.col("ts").isNotNull().alias("a"), F.coalesce(micros, F.lit(0)).alias("b"), total.alias("c"), *[F.coalesce(F.col(f"f_{f}").cast("string"), F.lit("")).alias(f"x_{f}") for f in fields], F.col("r").alias("r"), F.col("ts").alias("ts"), *[F.col(f"f_{f}") for f in fields])
-    recs = base.groupBy("g", "k").agg(F.max(row).alias("m")).select("g", "k", "m.r", "m.ts", *[f"m.f_{f}" for f in fields])
-    long = recs.select("g", "k", "r", "ts", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.when(ok[f], F.col(f"f_{f}").cast("string")).alias("value"), level(f).alias("lv")) for f in fields])).alias("x")).select("g", "k", "r", "ts", "x.*").where("value is not null")
+    row = F.struct(F.col("ts").isNotNull().alias("a"), F.coalesce(F.unix_micros("ts"), F.lit(0)).alias("b"), total.alias("c"), *kept, "r", "ts")
+    recs = judged.groupBy("g", "k").agg(F.max(row).alias("m")).select("g", "k", "m.r", "m.ts", *[f"m.{c}" for c in kept])
+    long = recs.select("g", "k", "r", "ts", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"v_{f}").alias("value"), F.col(f"l_{f}").alias("lv")) for f in fields])).alias("x")).select("g", "k", "r", "ts", "x.*").where("value is not null")
     lacking = long.where("ts is null")
     known = long.where("ts is not null").join(lacking.select("g", "field").distinct(), ["g", "field"], "left_semi")
     same = known.groupBy("g", "field", "value").agg(F.max(F.unix_micros("ts")).alias("same_ts"))
