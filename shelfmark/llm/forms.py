@@ -22,6 +22,9 @@ DRAWN_FORMAT = {*range(0x600, 0x606), 0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD
 UNDRAWN = {0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0x180B, 0x1810), 0x3164, 0xFFA0, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
 
 
+#: Anything but everyday characters, none of which shows nothing or has another form.
+EVERYDAY = r"[^\x00-\x7f\xc0-\xff぀-ヿ一-鿿、。《》“”…]"
+
 #: Where Unicode has format characters, blanks and compatibility forms (planes 0, 1, 2 and 14 in part).
 FORMS_AT = (range(0xA0, 0x20000), range(0x2F800, 0x2FA20), range(0xE0000, 0xE1000))
 
@@ -75,7 +78,7 @@ def skeleton(c: Column | str, letters: bool = True) -> Column:
     """The text without invisible characters and with one form per sign; letters: also look-alike letters as Latin ones.
 
     What a reader can see stays: case, accents, punctuation, the number of blanks. Composed and decomposed
-    accents stay as they are and compare equal under the UNICODE collation. null stays null. ASCII text is passed through.
+    accents stay as they are and compare equal under the UNICODE collation. null stays null. Everyday text is passed through.
     """
     c = F.col(c) if isinstance(c, str) else c
     src, dst, many, inv = _tables()
@@ -90,7 +93,7 @@ def skeleton(c: Column | str, letters: bool = True) -> Column:
         if ord(k) < 0x10000:
             y = F.replace(y, F.lit(k), F.lit(v))
     x = F.when(x.rlike("[" + "".join(k for k in sorted(many) if ord(k) < 0x10000) + "]"), y).otherwise(x)
-    return F.when(c.rlike(r"[^\x00-\x7f]"), x).otherwise(c)
+    return F.when(c.rlike(EVERYDAY), x).otherwise(c)
 
 
 @functools.cache
@@ -99,8 +102,7 @@ def _py_table(letters: bool) -> dict[int, str]:
     return t | ({ord(k): v for k, v in lookalike().items()} if letters else {})
 
 
-#: Everyday characters that have no other form.
-_OTHER = re.compile(r"[^\x00-\x7f\xc0-\xff぀-ヿ一-鿿、。《》“”…]")
+_OTHER = re.compile(EVERYDAY)
 
 
 def canonical(text: str, letters: bool = False) -> str:
