@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.session import table
@@ -110,13 +110,36 @@ def side_expand(spark: SparkSession, d: str) -> DataFrame:
     return compare.sides(c, ["data_id"], ["target_data_id"], "target_data_id").select("data_id", "compare_side")
 
 
+def _split(c: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")))
+
+
+def _by_type(c: Column) -> Column:
+    """Packed identifiers as a map from type to value, several values of a type joined in order; an entry without a colon is a type without value."""
+    pairs = F.transform(_split(c), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.trim(F.regexp_replace(x, "^[^:]*:?", "")).alias("v")))
+    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]))), "; ")))
+
+
+FACETS = ("authors", "tags", "publisher", "languages", "rating", "series", "identifiers", "comments_len")
+
+
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    """The latest row of each sync_id and side as struct ``r``."""
+    return table(spark, d, "scan_compare").groupBy("sync_id", "compare_side").agg(F.max_by(F.struct("data_id", *FACETS), F.struct("scanned_at", "data_id")).alias("r"))
+
+
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    """The two copies of each book side by side, latest row each."""
-    s = table(spark, d, "scan_compare")
-    split = lambda c: F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")))
-    kv = lambda c: F.map_from_entries(F.transform(F.filter(split(c), lambda x: x.contains(":")), lambda x: F.struct(F.substring_index(x, ":", 1), F.substring_index(x, ":", -1))))
-    last = s.groupBy("sync_id", "compare_side").agg(F.max_by(F.struct("authors", "tags", "publisher", "identifiers", "comments_len"), F.struct("scanned_at", "data_id")).alias("r"))
-    side = lambda n, p: last.where(F.col("compare_side") == n).select("sync_id", split(F.col("r.authors")).alias(f"{p}_authors"), split(F.col("r.tags")).alias(f"{p}_tags"), F.col("r.publisher").alias(f"{p}_publisher"), F.col("r.identifiers").alias(f"{p}_ids"))
+    """The two copies of each book side by side, latest row each. Rating is a set of at most one, a comment of length 0 is missing."""
+    last = _latest(spark, d)
+    facets = {
+        **{f: _split(F.col(f"r.{f}")) for f in ("authors", "tags", "languages")},
+        "rating": F.filter(F.array(F.col("r.rating").cast("string")), lambda x: x.isNotNull()),
+        **{f: F.col(f"r.{f}") for f in ("publisher", "series")},
+        "identifiers": _by_type(F.col("r.identifiers")),
+        "comments_len": F.nullif(F.col("r.comments_len"), F.lit(0)),
+    }
+    side = lambda n, p: last.where(F.col("compare_side") == n).select("sync_id", *[c.alias(f"{p}_{f}") for f, c in facets.items()])
     return side("incremental", "a").join(side("full", "b"), "sync_id")
 
 
@@ -152,8 +175,10 @@ def single_compare(spark: SparkSession, d: str) -> DataFrame:
     SELECT sync_id, CASE s WHEN 3 THEN 'conflict' WHEN 2 THEN 'target_missing' WHEN 1 THEN 'target_extra' ELSE 'same' END AS result FROM s"""
 )
 def metadata_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """All eight facets. Of comments the table holds lengths alone, so texts of equal length count as equal."""
     p = _pairs(spark, d)
-    s = [compare.compare_sets(F.col("a_authors"), F.col("b_authors"))[0], compare.compare_sets(F.col("a_tags"), F.col("b_tags"))[0], compare.compare_values(F.col("a_publisher"), F.col("b_publisher"))[0]]
+    how = {"publisher": compare.compare_values, "series": compare.compare_values, "comments_len": compare.compare_values, "identifiers": compare.compare_maps}
+    s = [how.get(f, compare.compare_sets)(F.col(f"a_{f}"), F.col(f"b_{f}"))[0] for f in FACETS]
     return p.select("sync_id", compare.rollup(s).alias("result"))
 
 
