@@ -272,7 +272,8 @@ def cjk_ratios(spark: SparkSession, d: str) -> DataFrame:
     SELECT init_path, nullif(trim(regexp_extract(name, '^(.+)[.][^.]+$', 1)), '') AS stem, nullif(lower(regexp_extract(name, '^.+[.]([^.]+)$', 1)), '') AS suffix FROM p"""
 )
 def path_parts(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "dedup_records").where(~F.col("init_path").rlike(r"[\t\n]")).select("init_path").distinct()
+    """Every path, dirty ones too; a null path is a row with neither stem nor suffix."""
+    p = table(spark, d, "dedup_records").select("init_path").distinct()
     return p.select("init_path", text.path_stem("init_path").alias("stem"), text.path_suffix("init_path").alias("suffix"))
 
 

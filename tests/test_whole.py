@@ -1,8 +1,12 @@
 """Queries that take whole tables, against Python models of the reference and fixtures."""
 
+import re
+
 import pyarrow.parquet as pq
 
-from shelfmark.plans import linking
+from shelfmark.plans import cleaning, linking
+
+from .conftest import order, rows
 
 
 def packed(v):
@@ -67,3 +71,15 @@ def test_rollup_whole(spark, data):
     rows = latest(data)
     want = {i: rolled(rows[i, "incremental"], rows[i, "full"]) for i in {k[0] for k in rows} if (i, "incremental") in rows and (i, "full") in rows}
     assert {r.sync_id: r.result for r in linking.metadata_rollup(spark, data).collect()} == want
+
+
+def test_path_parts_whole(spark, data, tmp_path):
+    def parts(p):
+        name = re.split(r"[/\\]", p or "")[-1].strip()
+        m = re.fullmatch(r"(.+)\.([^.]+)", name, re.S)
+        return (p, m and m[1].strip() or None, m and m[2].lower() or None)
+
+    dirty = [None, "a/b\tc.PDF", "a/x.epub\t", "\n a\\y.txt\r\n", "a/　z .Mobi\x85", "tab\t", "d/.hidden", ""]
+    spark.createDataFrame([(p,) for p in dirty], "init_path string").write.parquet(f"{tmp_path}/dedup_records.parquet")
+    for where, paths in ((str(tmp_path), dirty), (data, pq.read_table(f"{data}/dedup_records.parquet")["init_path"].to_pylist())):
+        assert rows(cleaning.path_parts(spark, where)) == order({parts(p) for p in paths})
