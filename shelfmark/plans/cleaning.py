@@ -143,7 +143,7 @@ _REASONS = " ".join(f"WHEN '{k}' THEN {v}" for k, v in REASON_ORDER.items())
 def rule_waterfall(spark: SparkSession, d: str) -> DataFrame:
     f = table(spark, d, "book_files").where("data_id is not null")
     first = f.groupBy("data_id").agg(F.min(F.struct("seen_at", "batch", "relative_path", "title", "ext", "bytes", "actual_bytes", "file_basename", "file_exists")).alias("f")).select("data_id", "f.*")
-    return classify.waterfall(first, text.replacement_damaged("title"), WORDS).select("data_id", "reason_code", "recommended_action", "reason_order")
+    return classify.waterfall(first, codec.is_mojibake("title"), WORDS).select("data_id", "reason_code", "recommended_action", "reason_order")
 
 
 @query(

@@ -83,3 +83,11 @@ def test_path_parts_whole(spark, data, tmp_path):
     spark.createDataFrame([(p,) for p in dirty], "init_path string").write.parquet(f"{tmp_path}/dedup_records.parquet")
     for where, paths in ((str(tmp_path), dirty), (data, pq.read_table(f"{data}/dedup_records.parquet")["init_path"].to_pylist())):
         assert rows(cleaning.path_parts(spark, where)) == order({parts(p) for p in paths})
+
+
+def test_waterfall_restorable(spark, tmp_path):
+    titles = {1: "中国历史地理".encode("gb18030").decode("latin-1"), 2: "中国历史", 3: "bad �", 4: None, 5: "Über café"}
+    files = [(i, None, "2024-01", f"p/{i}", t, "xyz", i, i, f"n{i}", True) for i, t in titles.items()]
+    spark.createDataFrame(files, "data_id long, seen_at timestamp, batch string, relative_path string, title string, ext string, bytes long, actual_bytes long, file_basename string, file_exists boolean").write.parquet(f"{tmp_path}/book_files.parquet")
+    got = {r.data_id: r.reason_code for r in cleaning.rule_waterfall(spark, str(tmp_path)).collect()}
+    assert got == {1: "title_mojibake", 2: "non_target_format", 3: "title_mojibake", 4: "non_target_format", 5: "non_target_format"}
