@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.session import table
+from shelfmark.functions.text import strip
 from shelfmark.operators import apply, compare, merge, upsert
 from shelfmark.plans import sqltext as q
 from shelfmark.sources.library import Library
@@ -129,6 +130,12 @@ def _latest(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "scan_compare").groupBy("sync_id", "compare_side").agg(F.max_by(F.struct("data_id", *FACETS), F.struct("scanned_at", "data_id")).alias("r"))
 
 
+def _publishers(spark: SparkSession, d: str, side: str) -> DataFrame:
+    """One side's dictionary of publishers as they are written, under the least data_id that has them; a blank one is none."""
+    p = _latest(spark, d).where(F.col("compare_side") == side).select("r.data_id", strip("r.publisher").alias("name")).where("name <> ''")
+    return p.groupBy("name").agg(F.min("data_id").alias("id")).select("id", "name")
+
+
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     """The two copies of each book side by side, latest row each. Rating is a set of at most one, a comment of length 0 is missing."""
     last = _latest(spark, d)
@@ -184,8 +191,7 @@ def metadata_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH s AS (SELECT lower(trim(n_name)) AS k, min(n_nationkey) AS i FROM nation WHERE n_nationkey % 3 > 0 GROUP BY 1), t AS (SELECT lower(trim(n_name)) AS k, min(n_nationkey) AS i FROM nation WHERE n_nationkey % 3 < 2 GROUP BY 1) SELECT coalesce(s.k, t.k) AS dict_key, s.i AS source_id, t.i AS target_id, CASE WHEN t.k IS NULL THEN 'source_only' WHEN s.k IS NULL THEN 'target_only' ELSE 'same' END AS status, CASE WHEN t.k IS NULL THEN 'insert' ELSE 'keep_target' END AS action FROM s FULL JOIN t ON s.k = t.k")
 def dict_full_outer(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("sort"))
-    return compare.diff_dictionary(n.where("id % 3 > 0"), n.where("id % 3 < 2"), "name")
+    return compare.diff_dictionary(_publishers(spark, d, "incremental"), _publishers(spark, d, "full"), "name")
 
 
 @query(
@@ -195,9 +201,11 @@ def dict_full_outer(spark: SparkSession, d: str) -> DataFrame:
     CASE WHEN t.k IS NULL THEN 'source_only' WHEN s.k IS NULL THEN 'target_only' WHEN s.v = t.v THEN 'same' ELSE 'conflict' END AS status FROM s FULL JOIN t ON s.sb = t.tb AND s.k = t.k"""
 )
 def child_diff(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("book"), F.col("l_returnflag").alias("type"), F.col("l_partkey").cast("string").alias("val"), "l_linenumber")
-    o = li.select(F.col("book").alias("source_book"), F.col("book").alias("target_book")).distinct()
-    return compare.diff_children(li.where("l_linenumber % 2 = 0"), li.where("l_linenumber % 3 = 0"), o, "type", "val")
+    """Identifiers of the two sides of scan_compare as children of the copies that a sync_id ties; the values of a type are one value."""
+    last = _latest(spark, d)
+    side = lambda n: last.where(F.col("compare_side") == n).select(F.col("sync_id").alias("book"), F.explode(_by_type(F.col("r.identifiers"))).alias("type", "val"))
+    books = last.select(F.col("sync_id").alias("source_book"), F.col("sync_id").alias("target_book")).distinct()
+    return compare.diff_children(side("incremental"), side("full"), books, "type", "val")
 
 
 def _suppliers(spark: SparkSession, d: str) -> Library:
@@ -228,8 +236,7 @@ def primary_author(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH f AS (SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey < 10), w AS (SELECT lower(n_name) AS k, min(n_name) AS name FROM nation GROUP BY 1), x AS (SELECT * FROM w WHERE k NOT IN (SELECT lower(name) FROM f)) SELECT id, name FROM f UNION ALL SELECT row_number() OVER (ORDER BY k) + (SELECT max(id) FROM f), name FROM x")
 def upsert_dictionary(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
-    return upsert.upsert_dictionary(n.where("id < 10"), n, "name")[0]
+    return upsert.upsert_dictionary(_publishers(spark, d, "full"), _publishers(spark, d, "incremental"), "name")[0]
 
 
 @query(
@@ -239,8 +246,10 @@ def upsert_dictionary(spark: SparkSession, d: str) -> DataFrame:
     WHEN row_number() OVER (PARTITION BY n.book, upper(trim(coalesce(n.format, ''))) ORDER BY n.id) > 1 THEN 'conflict' ELSE 'inserted' END AS status FROM n LEFT JOIN h ON n.book = h.book AND upper(trim(coalesce(n.format, ''))) = h.fm"""
 )
 def upsert_files(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "data_rows").select("id", "book", "format", "uncompressed_size", "name")
-    return upsert.insert_files(t.where("id % 2 = 0"), t.where("id % 2 = 1 or id % 10 = 0"))[1]
+    """All files of book_files, first sighting each, into data_rows. A file without an id or a book has no place there."""
+    seen = table(spark, d, "book_files").where("data_id is not null and book_id is not null").groupBy("data_id").agg(F.min(F.struct("seen_at", "batch", "relative_path", "title", "book_id", "ext", "bytes", "file_basename")).alias("f"))
+    files = seen.select(F.col("data_id").alias("id"), F.col("f.book_id").alias("book"), F.col("f.ext").alias("format"), F.col("f.bytes").alias("uncompressed_size"), F.col("f.file_basename").alias("name"))
+    return upsert.insert_files(table(spark, d, "data_rows").select("id", "book", "format", "uncompressed_size", "name"), files)[1]
 
 
 @query(
@@ -248,8 +257,9 @@ def upsert_files(spark: SparkSession, d: str) -> DataFrame:
     SELECT id, CASE WHEN EXISTS (SELECT 1 FROM books o WHERE o.title = k.k AND o.id <> k.id) OR row_number() OVER (PARTITION BY k ORDER BY id) > 1 THEN 'manual_confirming' ELSE 'updated' END AS status FROM k WHERE want"""
 )
 def update_names(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "books").select("id", "title")
-    return apply.update_names(b, b.where("id % 4 = 0").select("id", F.concat(F.lit("new "), F.coalesce("title", F.lit(""))).alias("value")), "title", ["title"])[1]
+    """Each book takes the title that its files were seen with."""
+    new = table(spark, d, "book_files").where("book_id is not null").select(F.col("book_id").alias("id"), F.col("title").alias("value"))
+    return apply.update_names(table(spark, d, "books").select("id", "title"), new, "title", ["title"])[1]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
