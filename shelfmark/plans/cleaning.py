@@ -267,9 +267,12 @@ def cjk_ratios(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "books").select("id", F.round(text.cjk_ratio("title"), 6).alias("ratio"), text.replacement_damaged("title").alias("damaged"))
 
 
+_NAME = q.strip("regexp_extract(coalesce(init_path, ''), '([^/' || chr(92) || chr(92) || ']*)$', 1)")
+
+
 @query(
-    """WITH p AS (SELECT DISTINCT init_path, trim(regexp_extract(coalesce(init_path, ''), '([^/' || chr(92) || chr(92) || ']*)$', 1)) AS name FROM dedup_records WHERE init_path NOT LIKE '%' || chr(9) || '%' AND init_path NOT LIKE '%' || chr(10) || '%')
-    SELECT init_path, nullif(trim(regexp_extract(name, '^(.+)[.][^.]+$', 1)), '') AS stem, nullif(lower(regexp_extract(name, '^.+[.]([^.]+)$', 1)), '') AS suffix FROM p"""
+    f"""WITH p AS (SELECT DISTINCT init_path, {_NAME} AS name FROM dedup_records)
+    SELECT init_path, nullif({q.strip("regexp_extract(name, '(?s)^(.+)[.][^.]+$', 1)")}, '') AS stem, nullif(lower(regexp_extract(name, '(?s)^.+[.]([^.]+)$', 1)), '') AS suffix FROM p"""
 )
 def path_parts(spark: SparkSession, d: str) -> DataFrame:
     """Every path, dirty ones too; a null path is a row with neither stem nor suffix."""

@@ -151,9 +151,15 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 _LIST = "list_sort(list_distinct(list_filter(list_transform(string_split(coalesce({0}, ''), ';'), lambda x: trim(x)), lambda x: x <> '')))"
-_PAIRS = f"""r AS (SELECT sync_id, compare_side, {_LIST.format("authors")} AS au, {_LIST.format("tags")} AS tg, publisher FROM scan_compare
-      QUALIFY row_number() OVER (PARTITION BY sync_id, compare_side ORDER BY scanned_at DESC, data_id DESC) = 1),
-    p AS (SELECT x.sync_id, x.au AS a, y.au AS b, x.tg AS ta, y.tg AS tb, trim(coalesce(x.publisher, '')) AS pa, trim(coalesce(y.publisher, '')) AS pb FROM r x JOIN r y ON x.sync_id = y.sync_id AND x.compare_side = 'incremental' AND y.compare_side = 'full')"""
+_LAST = "SELECT * FROM scan_compare QUALIFY row_number() OVER (PARTITION BY sync_id, compare_side ORDER BY scanned_at DESC, data_id DESC) = 1"
+_PAIRS = f"""r AS (SELECT sync_id, compare_side, {_LIST.format("authors")} AS au, {_LIST.format("tags")} AS tg, {_LIST.format("languages")} AS la,
+      CASE WHEN rating IS NULL THEN [] ELSE [rating::VARCHAR] END AS ra, publisher, series, comments_len FROM ({_LAST})),
+    p AS (SELECT x.sync_id, x.au AS a, y.au AS b, x.tg AS ta, y.tg AS tb, x.la AS la, y.la AS lb, x.ra AS ra, y.ra AS rb, trim(coalesce(x.publisher, '')) AS pa, trim(coalesce(y.publisher, '')) AS pb,
+      trim(coalesce(x.series, '')) AS sa, trim(coalesce(y.series, '')) AS sb, coalesce(nullif(x.comments_len, 0)::VARCHAR, '') AS ca, coalesce(nullif(y.comments_len, 0)::VARCHAR, '') AS cb
+      FROM r x JOIN r y ON x.sync_id = y.sync_id AND x.compare_side = 'incremental' AND y.compare_side = 'full')"""
+#: Identifiers as rows: one per type and side, the values of a type joined in order.
+_IDS = f"""e AS (SELECT sync_id, compare_side, unnest({_LIST.format("identifiers")}) AS x FROM ({_LAST})),
+    i AS (SELECT sync_id, compare_side, trim(split_part(x, ':', 1)) AS k, string_agg(DISTINCT v, '; ' ORDER BY v) AS v FROM (SELECT *, trim(regexp_replace(x, '^[^:]*:?', '')) AS v FROM e) GROUP BY 1, 2, 3)"""
 _ONLY = "array_to_string(list_filter({0}, lambda x: NOT list_contains({1}, x)), ', ')"
 
 
@@ -176,10 +182,21 @@ def single_compare(spark: SparkSession, d: str) -> DataFrame:
     return p.select("sync_id", compare.compare_values(F.col("a_publisher"), F.col("b_publisher"))[1].alias("message"))
 
 
+def _worst(sets: str, values: str) -> str:
+    """Severity of facets by name: sets as columns of lists, values as columns of texts, on the two sides."""
+    has = lambda x, y: f"len(list_filter({x}, lambda x: NOT list_contains({y}, x))) > 0"
+    two = lambda names: [n.split("/") for n in names.split()]
+    clash = " OR ".join(f"({x} <> {y} AND {x} <> '' AND {y} <> '')" for x, y in two(values))
+    lacks = " OR ".join([f"({x} <> '' AND {y} = '')" for x, y in two(values)] + [has(x, y) for x, y in two(sets)])
+    extra = " OR ".join([f"({y} <> '' AND {x} = '')" for x, y in two(values)] + [has(y, x) for x, y in two(sets)])
+    return f"CASE WHEN {clash} THEN 3 WHEN {lacks} THEN 2 WHEN {extra} THEN 1 ELSE 0 END"
+
+
 @query(
-    f"""WITH {_PAIRS}, s AS (SELECT sync_id, CASE WHEN pa <> pb AND pa <> '' AND pb <> '' THEN 3 WHEN pa <> '' AND pb = '' OR len(list_filter(a, lambda x: NOT list_contains(b, x))) > 0 OR len(list_filter(ta, lambda x: NOT list_contains(tb, x))) > 0 THEN 2
-    WHEN pb <> '' AND pa = '' OR len(list_filter(b, lambda x: NOT list_contains(a, x))) > 0 OR len(list_filter(tb, lambda x: NOT list_contains(ta, x))) > 0 THEN 1 ELSE 0 END AS s FROM p)
-    SELECT sync_id, CASE s WHEN 3 THEN 'conflict' WHEN 2 THEN 'target_missing' WHEN 1 THEN 'target_extra' ELSE 'same' END AS result FROM s"""
+    f"""WITH {_PAIRS}, {_IDS}, m AS (SELECT coalesce(x.sync_id, y.sync_id) AS sync_id, max(CASE WHEN y.k IS NULL THEN 2 WHEN x.k IS NULL THEN 1 WHEN x.v <> y.v THEN 3 ELSE 0 END) AS s
+      FROM (SELECT * FROM i WHERE compare_side = 'incremental') x FULL JOIN (SELECT * FROM i WHERE compare_side = 'full') y ON x.sync_id = y.sync_id AND x.k = y.k GROUP BY 1),
+    w AS (SELECT p.sync_id, greatest({_worst("a/b ta/tb la/lb ra/rb", "pa/pb sa/sb ca/cb")}, coalesce(m.s, 0)) AS s FROM p LEFT JOIN m ON p.sync_id = m.sync_id)
+    SELECT sync_id, CASE s WHEN 3 THEN 'conflict' WHEN 2 THEN 'target_missing' WHEN 1 THEN 'target_extra' ELSE 'same' END AS result FROM w"""
 )
 def metadata_rollup(spark: SparkSession, d: str) -> DataFrame:
     """All eight facets. Of comments the table holds lengths alone, so texts of equal length count as equal."""
@@ -189,16 +206,24 @@ def metadata_rollup(spark: SparkSession, d: str) -> DataFrame:
     return p.select("sync_id", compare.rollup(s).alias("result"))
 
 
-@query("WITH s AS (SELECT lower(trim(n_name)) AS k, min(n_nationkey) AS i FROM nation WHERE n_nationkey % 3 > 0 GROUP BY 1), t AS (SELECT lower(trim(n_name)) AS k, min(n_nationkey) AS i FROM nation WHERE n_nationkey % 3 < 2 GROUP BY 1) SELECT coalesce(s.k, t.k) AS dict_key, s.i AS source_id, t.i AS target_id, CASE WHEN t.k IS NULL THEN 'source_only' WHEN s.k IS NULL THEN 'target_only' ELSE 'same' END AS status, CASE WHEN t.k IS NULL THEN 'insert' ELSE 'keep_target' END AS action FROM s FULL JOIN t ON s.k = t.k")
+_PUBLISHERS = f"""n AS (SELECT compare_side AS side, {q.strip("publisher")} AS name, min(data_id) AS id FROM ({_LAST}) WHERE {q.strip("publisher")} <> '' GROUP BY 1, 2)"""
+
+
+@query(
+    f"""WITH {_PUBLISHERS}, f AS (SELECT side, lower(trim(name)) AS k, min(id) AS id, arg_min(name, id) AS name FROM n GROUP BY 1, 2),
+    j AS (SELECT coalesce(s.k, t.k) AS dict_key, s.id AS source_id, t.id AS target_id, CASE WHEN t.k IS NULL THEN 'source_only' WHEN s.k IS NULL THEN 'target_only' WHEN s.name = t.name THEN 'same' ELSE 'conflict' END AS status
+      FROM (SELECT * FROM f WHERE side = 'incremental') s FULL JOIN (SELECT * FROM f WHERE side = 'full') t ON s.k = t.k)
+    SELECT *, CASE WHEN status = 'source_only' THEN 'insert' WHEN status = 'target_only' THEN 'keep_target' WHEN status = 'conflict' THEN 'merge_metadata' WHEN source_id = target_id THEN 'keep_target' ELSE 'relink_metadata' END AS action FROM j"""
+)
 def dict_full_outer(spark: SparkSession, d: str) -> DataFrame:
     return compare.diff_dictionary(_publishers(spark, d, "incremental"), _publishers(spark, d, "full"), "name")
 
 
 @query(
-    """WITH s AS (SELECT o_orderkey AS sb, lower(l_shipmode) AS k, min(l_partkey::VARCHAR) AS v FROM (SELECT l_orderkey AS o_orderkey, l_returnflag AS l_shipmode, l_partkey FROM lineitem WHERE l_linenumber % 2 = 0) GROUP BY 1, 2),
-    t AS (SELECT l_orderkey AS tb, lower(l_returnflag) AS k, min(l_partkey::VARCHAR) AS v FROM lineitem WHERE l_linenumber % 3 = 0 GROUP BY 1, 2)
-    SELECT coalesce(sb, tb) AS source_book, coalesce(sb, tb) AS target_book, coalesce(s.k, t.k) AS child_key, s.v AS source_value, t.v AS target_value,
-    CASE WHEN t.k IS NULL THEN 'source_only' WHEN s.k IS NULL THEN 'target_only' WHEN s.v = t.v THEN 'same' ELSE 'conflict' END AS status FROM s FULL JOIN t ON s.sb = t.tb AND s.k = t.k"""
+    f"""WITH {_IDS}, c AS (SELECT sync_id, compare_side, lower(k) AS k, min(v) AS v FROM i GROUP BY 1, 2, 3)
+    SELECT coalesce(s.sync_id, t.sync_id) AS source_book, coalesce(s.sync_id, t.sync_id) AS target_book, coalesce(s.k, t.k) AS child_key, s.v AS source_value, t.v AS target_value,
+    CASE WHEN t.k IS NULL THEN 'source_only' WHEN s.k IS NULL THEN 'target_only' WHEN s.v = t.v THEN 'same' ELSE 'conflict' END AS status
+    FROM (SELECT * FROM c WHERE compare_side = 'incremental') s FULL JOIN (SELECT * FROM c WHERE compare_side = 'full') t ON s.sync_id = t.sync_id AND s.k = t.k"""
 )
 def child_diff(spark: SparkSession, d: str) -> DataFrame:
     """Identifiers of the two sides of scan_compare as children of the copies that a sync_id ties; the values of a type are one value."""
@@ -234,16 +259,24 @@ def primary_author(spark: SparkSession, d: str) -> DataFrame:
     return compare.primary_author(_suppliers(spark, d))
 
 
-@query("WITH f AS (SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey < 10), w AS (SELECT lower(n_name) AS k, min(n_name) AS name FROM nation GROUP BY 1), x AS (SELECT * FROM w WHERE k NOT IN (SELECT lower(name) FROM f)) SELECT id, name FROM f UNION ALL SELECT row_number() OVER (ORDER BY k) + (SELECT max(id) FROM f), name FROM x")
+_FOLD = "translate(name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""WITH {_PUBLISHERS}, f AS (SELECT id, name FROM n WHERE side = 'full'), w AS (SELECT {_FOLD} AS k, min(name) AS name FROM n WHERE side = 'incremental' GROUP BY 1), x AS (SELECT * FROM w WHERE k NOT IN (SELECT {_FOLD} FROM f))
+    SELECT id, name FROM f UNION ALL SELECT row_number() OVER (ORDER BY k) + (SELECT max(id) FROM f), name FROM x"""
+)
 def upsert_dictionary(spark: SparkSession, d: str) -> DataFrame:
     return upsert.upsert_dictionary(_publishers(spark, d, "full"), _publishers(spark, d, "incremental"), "name")[0]
 
 
 @query(
-    """WITH f AS (SELECT * FROM data_rows WHERE id % 2 = 0), n AS (SELECT * FROM data_rows WHERE id % 2 = 1 OR id % 10 = 0),
-    h AS (SELECT book, upper(trim(coalesce(format, ''))) AS fm, arg_min(coalesce(uncompressed_size, -1), id) AS size, arg_min(name, id) AS name FROM f GROUP BY 1, 2)
-    SELECT n.id AS source_id, CASE WHEN h.book IS NOT NULL THEN CASE WHEN h.size = coalesce(n.uncompressed_size, -1) AND h.name IS NOT DISTINCT FROM n.name THEN 'already_synced' ELSE 'conflict' END
-    WHEN row_number() OVER (PARTITION BY n.book, upper(trim(coalesce(n.format, ''))) ORDER BY n.id) > 1 THEN 'conflict' ELSE 'inserted' END AS status FROM n LEFT JOIN h ON n.book = h.book AND upper(trim(coalesce(n.format, ''))) = h.fm"""
+    """WITH n AS (SELECT data_id AS id, book_id AS book, ext AS format, bytes AS size, file_basename AS name FROM book_files WHERE data_id IS NOT NULL AND book_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY data_id ORDER BY seen_at NULLS FIRST, batch NULLS FIRST, relative_path NULLS FIRST, title NULLS FIRST, book_id, ext NULLS FIRST, bytes NULLS FIRST, file_basename NULLS FIRST) = 1),
+    h AS (SELECT book, upper(trim(coalesce(format, ''))) AS fm, arg_min(coalesce(uncompressed_size, -1), id) AS size, arg_min(coalesce(name, chr(1)), id) AS name FROM data_rows GROUP BY 1, 2)
+    SELECT n.id AS source_id, CASE WHEN h.book IS NOT NULL THEN CASE WHEN h.size = coalesce(n.size, -1) AND h.name = coalesce(n.name, chr(1)) THEN 'already_synced' ELSE 'conflict' END
+    WHEN row_number() OVER (PARTITION BY n.book, upper(trim(coalesce(n.format, ''))) ORDER BY n.id) > 1 THEN 'conflict' ELSE 'inserted' END AS status
+    FROM n LEFT JOIN h ON n.book = h.book AND upper(trim(coalesce(n.format, ''))) = h.fm"""
 )
 def upsert_files(spark: SparkSession, d: str) -> DataFrame:
     """All files of book_files, first sighting each, into data_rows. A file without an id or a book has no place there."""
@@ -253,8 +286,9 @@ def upsert_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH w AS (SELECT id, 'new ' || coalesce(title, '') AS v FROM books WHERE id % 4 = 0), k AS (SELECT b.id, coalesce(w.v, b.title) AS k, w.id IS NOT NULL AS want FROM books b LEFT JOIN w ON b.id = w.id)
-    SELECT id, CASE WHEN EXISTS (SELECT 1 FROM books o WHERE o.title = k.k AND o.id <> k.id) OR row_number() OVER (PARTITION BY k ORDER BY id) > 1 THEN 'manual_confirming' ELSE 'updated' END AS status FROM k WHERE want"""
+    """WITH w AS (SELECT book_id AS id, min(title) AS v FROM book_files WHERE title IS NOT NULL AND book_id IS NOT NULL GROUP BY 1), k AS (SELECT b.id, coalesce(w.v, b.title) AS k, w.id IS NOT NULL AS want FROM books b LEFT JOIN w ON b.id = w.id),
+    f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY id) AS n FROM k WHERE want)
+    SELECT id, CASE WHEN n > 1 OR EXISTS (SELECT 1 FROM books o WHERE o.title = f.k AND o.id <> f.id) THEN 'manual_confirming' ELSE 'updated' END AS status FROM f"""
 )
 def update_names(spark: SparkSession, d: str) -> DataFrame:
     """Each book takes the title that its files were seen with."""
