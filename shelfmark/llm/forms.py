@@ -13,8 +13,13 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Letters of Greek and Cyrillic that look like a Latin one, written as pairs.
-LOOKALIKE = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ιi υu ρp αa γy ϲc ϳj АA ВB ЕE КK МM НH ОO РP СC ТT ХX УY ІI ЅS ЈJ ԌG ԜW ԚQ ҮY һh аa еe оo рp сc хx уy іi ѕs јj ԁd ԛq ԝw ӏl"
+from shelfmark.functions.session import cut
+
+#: Letters of Greek, Cyrillic, Armenian, Cherokee and phonetic writing that look like a Latin one, written as pairs.
+LOOKALIKE = (
+    "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ιi υu ρp αa γy ϲc ϳj ϹC ͿJ АA ВB ЕE КK МM НH ОO РP СC ТT ХX УY ІI ЅS ЈJ ԌG ԜW ԚQ ҮY һh аa еe оo рp сc хx уy іi ѕs јj ԁd ԛq ԝw ӏl ѵv "
+    "օo սu հh ոn ɑa ɡg ᎪA ᏴB ᏟC ᎠD ᎬE ᏀG ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᏒR ᏚS ᎢT ᏙV ᎳW ᏃZ"
+)
 
 #: Format characters that are drawn, so they stay.
 DRAWN_FORMAT = {*range(0x600, 0x606), 0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD, 0x110CD, *range(0xFFF9, 0xFFFC), *range(0x13430, 0x13440)}
@@ -53,17 +58,22 @@ def same_sign() -> dict[str, str]:
 
 @functools.cache
 def lookalike() -> dict[str, str]:
-    return {p[0]: p[1] for p in LOOKALIKE.split()}
+    """The listed letters, and each that is one of them with accents: composed and decomposed spelling end in one form."""
+    out = {p[0]: p[1] for p in LOOKALIKE.split()}
+    for c in range(0xC0, 0x2000):
+        base, marks = (d := unicodedata.normalize("NFD", chr(c)))[:1], d[1:]
+        if marks and base in out:
+            out[chr(c)] = unicodedata.normalize("NFC", out[base] + marks)
+    return out
 
 
 @functools.cache
 def _tables() -> tuple[str, str, dict[str, str], str]:
     one, many = {}, {}
     # a look-alike is mapped after its other forms, so the full-width or mathematical letter ends at the same place
-    for k, v in same_sign().items():
+    for k, v in (same_sign() | lookalike()).items():
         v = "".join(lookalike().get(x, x) for x in v)
         (one if len(v) == 1 else many)[k] = v
-    one |= lookalike()
     inv = sorted(map(ord, invisible()))
     spans, start = [], inv[0]
     for a, b in zip(inv, inv[1:] + [None]):
@@ -86,13 +96,12 @@ def skeleton(c: Column | str, letters: bool = True) -> Column:
         like = lookalike()
         keep = [(a, b) for a, b in same_sign().items() if len(b) == 1]
         src, dst, many = "".join(a for a, _ in keep), "".join(b for _, b in keep), {a: b for a, b in same_sign().items() if len(b) > 1}
-        assert not set(src) & set(like)
+        assert not set(src) & {k for k in like if k not in same_sign()}
     x = F.translate(F.regexp_replace(c, inv, ""), src, dst)
     y = x
     for k, v in sorted(many.items()):
-        if ord(k) < 0x10000:
-            y = F.replace(y, F.lit(k), F.lit(v))
-    x = F.when(x.rlike("[" + "".join(k for k in sorted(many) if ord(k) < 0x10000) + "]"), y).otherwise(x)
+        y = F.replace(y, F.lit(k), F.lit(v))
+    x = F.when(x.rlike("[" + "".join(sorted(many)) + "]"), y).otherwise(x)
     return F.when(c.rlike(EVERYDAY), x).otherwise(c)
 
 
@@ -144,11 +153,16 @@ def canonicalize(df: DataFrame, column: str, out: str = "canonical") -> DataFram
 def lookalike_pairs(df: DataFrame, key: str, column: str) -> DataFrame:
     """Pairs of keys whose values differ as stored but look alike; the smaller key first.
 
-    Copies of one stored value make no pair with each other. Only classes with at least two stored values take part in
-    the join, on the class, where adaptive execution splits a hot class. A null key or value makes no pair.
+    Copies of one stored value make no pair with each other. The stored values of a class are paired first, each pair once; then rows
+    join their value's pairs, first one side, then the other, so the work grows with the rows and the result, not with the square of a
+    value's rows. Where even the result is too much, :func:`visual_classes` has one row per stored value with its class. A null key or value, and
+    a key with itself, make no pair; repeated rows count once.
     """
-    many = visual_classes(df, column).where("n_values > 1").select("value", "canonical")
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(column).alias("value"))
-    m = rows.join(many, "value").distinct()
-    a, b = (m.select(F.col("k").alias(f"{key}_{s}"), F.col("value").alias(f"v{s}"), F.col("canonical").alias("c")) for s in "ab")
-    return a.join(b, "c").where((F.col("va") != F.col("vb")) & (F.col(f"{key}_a") < F.col(f"{key}_b"))).select(f"{key}_a", f"{key}_b").distinct()
+    # a class with one stored value is the rule, so little is written here
+    many = cut(visual_classes(df, column).where("n_values > 1").select("value", "canonical"))
+    x, y = (many.select(F.col("value").alias(v), "canonical") for v in ("va", "vb"))
+    pairs = x.join(y, "canonical").where("va < vb").select("va", "vb")
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(column).alias("value")).join(many.select("value"), "value", "left_semi").distinct()
+    one = pairs.join(rows.select(F.col("k").alias("ka"), F.col("value").alias("va")), "va").select("ka", "vb")
+    both = one.join(rows.select(F.col("k").alias("kb"), F.col("value").alias("vb")), "vb").where("ka <> kb")
+    return both.select(F.least("ka", "kb").alias(f"{key}_a"), F.greatest("ka", "kb").alias(f"{key}_b")).distinct()
