@@ -1,7 +1,8 @@
 """Cutting oversized texts at natural boundaries (problem 10): structure-tree packing.
 
-Headings, blocks, list items, lines and sentences form a tree over the text's tokens. A node that fits stays whole; the children of one that does
-not are merged with their neighbours up to the limit, and only an oversized child is opened. Clauses, words and at last single
+Headings, blocks, list items, lines and sentences form a tree over the text's tokens. A node that fits stays whole. One that does not is opened,
+and from the bottom up its subtrees, or what an opened subtree came to, are merged with their neighbours up to the limit; so the tail of an
+opened node goes with the sibling after it, and no two neighbouring pieces would fit together. Clauses, words and at last single
 tokens are looked for only inside a sentence that is itself too large.
 """
 
@@ -98,32 +99,37 @@ class Tree:
         first = np.append(True, t[1:] != t[:-1]) if len(t) else np.zeros(0, bool)
         return t[first], k[first]
 
-    def cut(self, limit: int) -> list[tuple[int, int, int]]:
-        """Ranges of at most ``limit`` tokens that follow each other, with the kind of the boundary each begins at."""
-        return self._pack(0, len(self.starts) - 1, 0, self.at, self.kind, limit)
+    def cut(self, limit: int, first: int | None = None) -> list[tuple[int, int, int]]:
+        """Ranges of at most ``limit`` tokens that follow each other, with the kind of the boundary each begins at; ``first`` is the limit of the first one."""
+        return self._pack(0, len(self.starts) - 1, 0, self.at, self.kind, limit, first or limit)
+
+    @staticmethod
+    def _merge(units: list[tuple[int, int, int]], limit: int, first: int) -> list[tuple[int, int, int]]:
+        """Neighbours joined from left to right while they fit; afterwards no two neighbours would."""
+        out = [units[0]]
+        for lo, hi, kind in units[1:]:
+            a, b, begin = out[-1]
+            if hi - a <= (limit if a else first):
+                out[-1] = (a, hi, begin)
+            else:
+                out.append((lo, hi, kind))
+        return out
 
-    def _pack(self, lo: int, hi: int, own: int, at: np.ndarray, kind: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
-        if hi - lo <= limit:
+    def _pack(self, lo: int, hi: int, own: int, at: np.ndarray, kind: np.ndarray, limit: int, first: int) -> list[tuple[int, int, int]]:
+        if hi - lo <= (limit if lo else first):
             return [(lo, hi, own)]
         if not len(at):
-            return self._finer(lo, hi, own, limit)
+            return self._finer(lo, hi, own, limit, first)
         level = int(kind.min())
         top = np.flatnonzero(kind == level)
         edges = [lo, *at[top].tolist(), hi]
-        out: list[tuple[int, int, int]] = []
-        i, begin = 0, own
-        while i < len(edges) - 1:
-            j = bisect_right(edges, edges[i] + limit) - 1
-            if j > i:
-                out.append((edges[i], edges[j], begin))
-            else:
-                j = i + 1
-                a, b = (int(top[i - 1]) + 1 if i else 0), (int(top[i]) if i < len(top) else len(at))
-                out += self._pack(edges[i], edges[j], begin, at[a:b], kind[a:b], limit)
-            i, begin = j, level
-        return out
+        units: list[tuple[int, int, int]] = []
+        for i in range(len(edges) - 1):
+            a, b = (int(top[i - 1]) + 1 if i else 0), (int(top[i]) if i < len(top) else len(at))
+            units += self._pack(edges[i], edges[i + 1], level if i else own, at[a:b], kind[a:b], limit, first)
+        return self._merge(units, limit, first)
 
-    def _finer(self, lo: int, hi: int, own: int, limit: int) -> list[tuple[int, int, int]]:
+    def _finer(self, lo: int, hi: int, own: int, limit: int, first: int) -> list[tuple[int, int, int]]:
         """Inside a node without boundaries: clauses, else words, else tokens."""
         a, b = int(self.starts[lo]), int(self.starts[hi])
         part = self.text[a:b]
@@ -131,14 +137,14 @@ class Tree:
             cuts = [a + m.end() for m in rx.finditer(part)]
             at, kind = self._on_tokens(cuts, [k] * len(cuts), lo, hi)
             if len(at):
-                return self._pack(lo, hi, own, at, kind, limit)
+                return self._pack(lo, hi, own, at, kind, limit, first)
         out, begin = [], own
-        while hi - lo > limit:
-            end = lo + limit
+        while hi - lo > (most := limit if lo else first):
+            end = lo + most
             while end > lo + 1 and self.starts[end] == self.starts[end + 1]:  # not inside a character
                 end -= 1
             if self.starts[end] == self.starts[min(end + 1, hi)]:
-                end = lo + limit
+                end = lo + most
             out.append((lo, end, begin))
             lo, begin = end, TOKEN
         return [*out, (lo, hi, begin)]
@@ -154,7 +160,8 @@ def pieces(text: str, t: Tokenizer, limits: list[tuple[int, int, int]]) -> list[
     tree, out = Tree(text, starts), []
     for name, capacity, overlap in limits:
         if n > capacity:
-            for no, (lo, hi, kind) in enumerate(tree.cut(capacity - overlap)):
+            # the first piece shares nothing, so it may be as long as the capacity; it is then never shorter than the overlap
+            for no, (lo, hi, kind) in enumerate(tree.cut(capacity - overlap, capacity)):
                 a = lo - (overlap if no else 0)
                 out.append((name, no, a, hi, lo - a, int(starts[a]), int(starts[hi]), kind))
     return out

@@ -174,18 +174,22 @@ def check(text, tok, limits):
         if n <= cap:
             assert name not in by
             continue
-        end, chars = 0, ""
+        end, chars, last, own = 0, "", None, []
         for i, (_, no, a, b, shared, c0, c1, _) in enumerate(by[name]):
-            assert no == i and a < b and b - a <= cap and shared == (over if i else 0) and a + shared == end
-            end = b
+            assert no == i and 0 <= a < b and b - a <= cap and shared == (over if i else 0) and a + shared == end
+            assert last is None or a >= last
+            own.append(b - end)
+            end, last = b, a
             chars += text[c0:c1]
         assert end == n
+        # no two neighbours would fit together
+        assert all(x + y > (cap if i == 0 else cap - over) for i, (x, y) in enumerate(zip(own, own[1:])))
         if not over:
             assert chars == text
 
 
 def test_long_and_odd(tok):
-    for t in ("x" * 100_000, "。" * 5000, "word " * 20_000, "\n" * 5000, "中" * 20_000, "<p>a</p>" * 3000, "😀" * 3000):
+    for t in ("# T\n" + "word " * 400, "x" * 100_000, "。" * 5000, "word " * 20_000, "\n" * 5000, "中" * 20_000, "<p>a</p>" * 3000, "😀" * 3000):
         check(t, tok, LIMITS)
 
 
@@ -206,8 +210,12 @@ def test_split_documents(spark, data, tok):
     out = splitting.split_documents(d, limits, with_text=True).collect()
     got = {}
     for r in out:
-        assert r.text == texts[r.doc_id][r.start_char : r.end_char]
-        got.setdefault((r.limit_id, r.doc_id), []).append((r.piece, r.start_token, r.end_token))
+        assert r.text and r.start_token >= 0 and r.text == texts[r.doc_id][r.start_char : r.end_char]
+        got.setdefault((r.limit_id, r.doc_id), []).append((r.piece, r.start_token, r.end_token, r.shared_tokens, r.start_char, r.end_char))
+    for p in got.values():
+        p.sort()
+        # what a piece shares is the end of the one before
+        assert all(x[1] <= y[1] and x[2] == y[1] + y[3] and x[4] <= y[4] <= x[5] for x, y in zip(p, p[1:]))
     assert set(got) == {(l, k) for k, t in texts.items() for l, c, _ in lim if t and len(tok.encode(t)) > c}
     assert splitting.split_documents(d.limit(0), limits).count() == 0
     with pytest.raises(ValueError):
