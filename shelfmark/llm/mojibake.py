@@ -40,19 +40,27 @@ KIN = {("gbk", "gb18030"), ("big5hkscs", "big5")}
 #: Further bits for naming an encoding that is seldom mistaken.
 SELDOM = {"mac-cyrillic": 6.0, "mac-roman": 3.0, "cp949": 4.0}
 
-#: Bits that naming a pair of encodings costs, bits of gain beyond which a repair is accepted, most layers, and bits of
-#: another reading (look-alike letters).
-PAIR_BITS, GAIN_BITS, LAYERS, READING_BITS = 7.0, 4.0, 3, 1.0
+#: Bits that naming a pair of encodings costs, bits of gain beyond which a repair is accepted, and bits of another reading (look-alike letters).
+PAIR_BITS, GAIN_BITS, READING_BITS = 7.0, 4.0, 1.0
+#: Readings of a layer that are decoded further, the cheapest ones; bits by which such a reading may be dearer than the best so far, as
+#: a layer between need not pay by itself; and layers in a row that may pass without a new best reading.
+BEAM, BETWEEN_BITS, PATIENCE = 3, 14.0, 1
+#: Bits against each sure sign of garbling (see _STILL) that a repaired text still has: a corpus with garbled text makes such text look cheap.
+TELL_BITS = 6.0
 NAMING = {(n, r): PAIR_BITS + SELDOM.get(n, 0.0) + SELDOM.get(r, 0.0) for n in TAKEN_FOR + TAKEN_FOR_WIDE for r in INTENDED_WIDE + INTENDED}
+#: Further bits for a repair of one character by one other: one byte proves little.
+LONE_BITS = 10.0
 #: A piece is suspicious with a non-ASCII character of so many bits, so many on average, or a tell.
 ODD_BITS, MEAN_BITS = 13.0, 10.0
-#: Longer pieces are tried in parts of this many characters.
-PIECE = 400
 
-_PIECES = regex.compile(r"[^\\/;\r\n]+")
+_PIECES = regex.compile(r"[^/;\r\n]+")
+_INNER = regex.compile(r"[^\\]+")
+#: Parts joined by a backslash that may be the second byte of a character: it follows a character that is not ASCII.
+_JOINED = regex.compile(r"[^\\]*(?:(?<=[^\x00-\x7f])\\[^\\]*)+")
 _WORDS = regex.compile(r"\S+")
 #: Tells: controls, signs and frames, letters with marks side by side, a Cyrillic capital after a small letter.
 _TELL = regex.compile(r"[\x80-\xbf⁰-⓿─-▟�]|[À-ɏ]{2}|[а-ё][А-Я]")
+_STILL = regex.compile(r"[\x80-\x9f─-▟\p{Co}]|[À-ɏ]{3}|\p{Cyrillic}(?=\p{Latin})|\p{Latin}(?=\p{Cyrillic})")
 _WIDE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}\p{Bopomofo}\p{Co}　-〿＀-￯]")
 _RUNS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}々-〟ー]+|[^\p{Han}\p{Hiragana}\p{Katakana}々-〟ー]+")
 
@@ -183,41 +191,63 @@ def _base(model: CharModel, units: list[str]) -> np.ndarray:
 
 
 def _repair(model: CharModel, pieces: list[tuple[str, str, str]]) -> list[tuple[float, str, tuple]]:
-    """For (before, piece, after): gain in bits, the repaired whole, the chain of pairs; gain 0 if nothing is better."""
+    """For (before, piece, after): gain in bits, the repaired whole, the chain of pairs; gain 0 if nothing is better.
+
+    Layer by layer the cheapest readings are decoded again, those too that do not pay by themselves, until the layers bring nothing better.
+    """
     whole = [a + p + z for a, p, z in pieces]
-    base, now = _base(model, whole), [p for _, p, _ in pieces]
+    base = _base(model, whole)
     res: list[tuple[float, str, tuple]] = [(0.0, w, ()) for w in whole]
-    paid = [0.0] * len(pieces)
-    live = list(range(len(pieces)))
-    for _ in range(LAYERS):
-        texts, own, chain = [], [], []
-        for i in live:
-            for t, c in _readings(now[i]).items():
-                texts.append(t)
-                own.append(i)
-                chain.append(c)
+    #: piece -> its readings to decode further, as (text, bits paid for naming, chain)
+    front: dict[int, list[tuple[str, float, tuple]]] = {i: [(p, 0.0, ())] for i, (_, p, _) in enumerate(pieces)}
+    seen: dict[int, set[str]] = {i: {p} for i, (_, p, _) in enumerate(pieces)}
+    stale = dict.fromkeys(front, 0)
+    while front:
+        texts, own, paid, chains = [], [], [], []
+        for i, states in front.items():
+            for now, cost, chain in states:
+                for t, c in _readings(now).items():
+                    if t not in seen[i]:
+                        seen[i].add(t)
+                        texts.append(t)
+                        own.append(i)
+                        paid.append(cost + NAMING[c] + (LONE_BITS if c[1] in INTENDED and sum(x > "\x7f" for x in now) == 1 else 0.0))
+                        chains.append((*chain, c))
         if not texts:
             break
-        named = [NAMING[c] + paid[i] for i, c in zip(own, chain)]
-        cost = model.costs([pieces[i][0] + t + pieces[i][2] for i, t in zip(own, texts)]) + np.array(named)
+        cost = model.costs([pieces[i][0] + t + pieces[i][2] for i, t in zip(own, texts)]) + np.array(paid)
         who = np.array(own)
         order = np.lexsort((cost, who))
-        best = order[np.r_[True, who[order][1:] != who[order][:-1]]]
-        live = []
-        for k in best:
-            i = own[k]
-            if base[i] - cost[k] > res[i][0]:
-                res[i] = (float(base[i] - cost[k]), pieces[i][0] + texts[k] + pieces[i][2], (*res[i][2], chain[k]))
-                now[i], paid[i] = texts[k], named[k]
-                live.append(i)
+        starts = np.flatnonzero(np.r_[True, who[order][1:] != who[order][:-1]])
+        front = {}
+        for a, b in zip(starts, np.append(starts[1:], len(order))):
+            i = own[order[a]]
+            cheap = order[a : min(b, a + BEAM)]
+            final = [cost[j] + TELL_BITS * len(_STILL.findall(texts[j])) for j in cheap]
+            k = int(np.argmin(final))
+            if base[i] - final[k] > res[i][0]:
+                j = cheap[k]
+                res[i] = (float(base[i] - final[k]), pieces[i][0] + texts[j] + pieces[i][2], chains[j])
+                stale[i] = 0
+            else:
+                stale[i] += 1
+            near = [j for j in cheap if cost[j] < base[i] - res[i][0] + BETWEEN_BITS]
+            if near and stale[i] <= PATIENCE:
+                front[i] = [(texts[j], paid[j], chains[j]) for j in near]
     return res
 
 
-def _cut(value: str) -> list[str]:
-    out = []
+def _cut(value: str) -> tuple[list[str], dict[str, list[str]]]:
+    """The pieces to judge, and the joined ones (see _JOINED) with the pieces each is made of."""
+    out, joined = [], {}
     for p in _PIECES.findall(value):
-        out += [p] if len(p) <= PIECE else [p[i : i + PIECE] for i in range(0, len(p), PIECE)]
-    return [p for p in out if not p.isascii()]
+        if "\\" not in p:
+            out.append(p)
+            continue
+        out += _INNER.findall(p)
+        for m in _JOINED.finditer(p):
+            joined[m[0]] = [x for x in _INNER.findall(m[0]) if not x.isascii()]
+    return [p for p in out if not p.isascii()], joined
 
 
 def _suspicious(model: CharModel, texts: list[str]) -> list[bool]:
@@ -233,10 +263,11 @@ def repair(model: CharModel, values: list[str]) -> list[tuple[str | None, str, f
     """For each text: None if sound, else (restored text, how, gain in bits).
 
     A text with U+FFFD lost bytes in a decoding: it is found, but cannot be restored (null, ``lost``). Pieces between slashes,
-    semicolons and line ends are judged one by one, first whole, then by words and by runs of one script.
+    semicolons and line ends are judged one by one, whatever their length, first whole, then by words and by runs of one script. A backslash may
+    part two pieces or be the second byte of a character; the reading that gains more counts.
     """
-    cuts = [[] if "�" in v else _cut(v) for v in values]
-    units = list(dict.fromkeys(p for c in cuts for p in c))
+    cuts = [([], {}) if "�" in v else _cut(v) for v in values]
+    units = list(dict.fromkeys(p for c, j in cuts for p in (*c, *j)))
     units = [u for u, odd in zip(units, _suspicious(model, units)) if odd]
     fixed = dict(zip(units, _repair(model, [("", u, "") for u in units]))) if units else {}
     parts: dict[tuple[str, str, str], str] = {}
@@ -251,12 +282,15 @@ def repair(model: CharModel, values: list[str]) -> list[tuple[str | None, str, f
         if r[0] > fixed[parts[p]][0]:
             fixed[parts[p]] = r
     out: list[tuple[str | None, str, float] | None] = []
-    for v, c in zip(values, cuts):
+    for v, (c, joined) in zip(values, cuts):
         if "�" in v:
             out.append((None, "lost", 0.0))
             continue
         gain, text, how = 0.0, v, []
-        for p in dict.fromkeys(c):
+        won = lambda p: g if (g := fixed.get(p, (0.0,))[0]) >= GAIN_BITS else 0.0
+        whole = [j for j, parts_ in joined.items() if won(j) > sum(map(won, parts_))]
+        inside = {x for j in whole for x in joined[j]}
+        for p in dict.fromkeys([*whole, *(x for x in c if x not in inside)]):
             g, t, chain = fixed.get(p, (0.0, p, ()))
             if g >= GAIN_BITS:
                 gain, text = gain + g, text.replace(p, t)
