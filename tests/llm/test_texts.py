@@ -129,13 +129,60 @@ def test_search_loses_nothing():
     want = set()
     for d, t in enumerate(docs):
         g = leaks.terms(leaks.words([t])[0])
-        at, _ = index.lookup(g)
+        at, _ = index.sections[0].lookup(g)
         for i in range(30):
             if index.stretch(i, at, g[at]) >= leaks.SHARE:
                 want.add((d, i))
     assert {(4 * i + j, i) for i in range(30) for j in (1, 2, 3)} <= got and got == want
 
 
+def test_pivot_blocks():
+    """In every query exactly the items at the threshold come out of the pivot blocks, and blocks that are no pivot hold none."""
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    items = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(20, 60))) for _ in range(100)]
+    h, b = leaks.words(items)
+    sec = leaks.Index(np.arange(100), [h[x:y] for x, y in zip(b, b[1:])]).sections[0]
+    g = leaks.terms(leaks.words([" ".join(rnd.choice(words) for _ in range(400)) + " " + items[7]])[0])
+    at, k = sec.lookup(g)
+    assert len(sec.parts) > 2
+    for part in sec.parts:
+        n = len(g) // part.stride + 1
+        last = np.arange(n) == n - 1
+        u = np.unique(at // part.stride * len(sec.term) + k)
+        cell, t = u // len(sec.term), u % len(sec.term)
+        pivot = part.pivots(cell, t, last)
+        got = {(q, i): x for q, i, x in zip(*(x.tolist() for x in part.matches(cell, t, last)))}
+        want = {}
+        for w in range(n):
+            full = np.zeros(len(part.items))
+            for x in np.unique(t[(cell == w) | (cell == w + 1)]):
+                for e in range(part.lists[x], part.lists[x + 1]):
+                    assert part.top[e] == part.weight[part.begin[e] : part.end[e]].max()
+                    for p in range(part.begin[e], part.end[e]):
+                        assert part.item[p] // leaks.WIDE == part.block[e]
+                        full[part.item[p]] += part.weight[p]
+            for i in np.flatnonzero(full >= leaks.THRESHOLD):
+                want[w, int(part.items[i])] = full[i]
+                assert pivot[w, i // leaks.WIDE]
+        assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in got)
+    assert 7 in {i for _, i, _, _ in leaks.Index(np.arange(100), [h[x:y] for x, y in zip(b, b[1:])]).search([" ".join(rnd.choice(words) for _ in range(40)) + " " + items[7]])}
+
+
+def test_short_dense_and_marked(spark):
+    """Items of a few words, a word in five or four replaced, tags of any length between the words."""
+    rnd = random.Random(3)
+    vocab = [f"term{i}" for i in range(500)]
+    p = [rnd.choice(vocab) for _ in range(120)]
+    every = lambda n: " ".join(f"zz{i}" if i % n == n - 1 else w for i, w in enumerate(p))
+    tag = '<a href="' + "q" * 2000 + '">'
+    fill = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    docs = [(1, fill(200) + " " + every(5) + " " + fill(200)), (2, every(4)), (3, f" {tag} ".join(p)), (4, fill(90) + " Answer: Forty-Two! " + fill(90)), (5, fill(50) + " forty two"), (6, "forty and two"), (7, "又是灯塔。"), (8, "<!-- " + "x " * 500 + "-->".join(["", " "]) + " ".join(p[:90]))]
+    items = [(1, " ".join(p)), (2, "answer forty-two"), (3, "forty two"), (4, "灯塔"), (5, "unseenword"), (6, "..."), (7, None)]
+    got = leaks.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string"))
+    assert rows(got.select("doc_id", "item_id").distinct()) == [(1, 1), (2, 1), (3, 1), (4, 2), (4, 3), (5, 3), (7, 4), (8, 1)]
+
+
 # --- problem 8 -------------------------------------------------------------------------------------------------------
 
 
