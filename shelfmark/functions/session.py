@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,14 +12,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes the rows to the shared checkpoint folder and goes on from there, so that a lost executor costs one re-read.
-
-    The folder is the one in spark.checkpoint.dir; only a session without any (a test) gets a local one.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, where intermediate rows outlive an executor; only a session without any (a test) gets a local one."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelfmark-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelfmark-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes the rows to the shared folder and goes on from there, so that a lost executor costs one re-read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
