@@ -1,8 +1,8 @@
-"""New batches against all history (problem 5): a table of distances to fixed pivots.
+"""New batches against all history (problem 5): a table of distances to fixed pivots, laid out by ranges.
 
 The metric is the edit distance of normalised texts. Each text's distances to a few fixed pivots are computed once, when
 its batch arrives, and stored. By the triangle inequality two texts within distance d differ by at most d in each pivot distance,
-so a new batch is joined only with the ranges of the table that its own distances allow; the true distance then decides.
+so a new batch meets only the ranges of the table that its own sizes and distances allow; the true distance then decides.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.session import new_folder
 from shelfmark.functions.text import blank, file_name, letters
 from shelfmark.llm.forms import skeleton
 
@@ -19,6 +20,8 @@ from shelfmark.llm.forms import skeleton
 PIVOTS = ("", "abcdefghijklmnopqrst", "的之与和一册卷二三山", "the of a in and vol part book")
 #: Most edits between texts that agree, and the most that sizes differ as a share of the larger.
 EDITS, SIZE_SHARE = 2, 0.005
+#: Width of a range of sizes as a share, of a range of the first pivot distance, and size ranges per zone (a folder of the table).
+SIZE_WIDTH, PIVOT_WIDTH, ZONE = 0.02, 8, 64
 #: The numerals of Chinese numbers.
 NUMERALS = "〇零一二三四五六七八九十百千万亿两"
 
@@ -39,85 +42,144 @@ def stem(path: Column | str) -> Column:
 
 
 def signatures(df: DataFrame, key: str = "data_id", batch: str = "batch", ext: str = "ext", size: str = "bytes", texts: dict[str, Column] | None = None) -> DataFrame:
-    """The rows of the pivot table: one per record and kind of text, with its distances to the pivots.
+    """One row per record and kind of text: ``k, batch, sig, zone, same, bytes, text``.
 
-    Columns: ``k, batch, kind, ext, bytes, text, nums, pivots, sig``; sig names the (kind, ext, bytes, text) that equal rows share.
-    A row without key or size, and a text that is null or has no letter or digit, agree with nothing and get no row.
+    ``same`` is a hash of what must be equal (kind, ext, digits and numerals), ``sig`` names the (same, bytes, text) that equal rows share,
+    ``zone`` is a coarse range of sizes. A row without key or size, and a text that is null or has no letter or digit, agree with nothing
+    and get no row.
     """
     texts = texts or {"title": F.col("title"), "file": stem("relative_path")}
     base = df.where(F.col(key).isNotNull() & F.col(size).isNotNull())
     kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), comparable(c).alias("text")) for n, c in texts.items()])).alias("x")
-    rows = base.select(F.col(key).cast("bigint").alias("k"), F.col(batch).alias("batch"), F.lower(blank(ext)).alias("ext"), F.col(size).cast("bigint").alias("bytes"), kinds)
-    rows = rows.select("k", "batch", "x.kind", "ext", "bytes", "x.text").where("text <> ''").distinct()
-    return rows.withColumn("nums", number_key(F.col("text"))).withColumn("pivots", F.array(*[F.levenshtein(F.col("text"), F.lit(p)) for p in PIVOTS])).withColumn("sig", F.unhex(F.md5(F.concat_ws("\x1f", "kind", "ext", F.col("bytes").cast("string"), "text"))))
+    rows = base.select(F.col(key).cast("bigint").alias("k"), F.col(batch).alias("batch"), F.lower(blank(ext)).alias("ext"), F.col(size).cast("bigint").alias("bytes"), kinds).where("x.text <> ''")
+    must = F.md5(F.concat_ws("\x1f", "x.kind", "ext", number_key(F.col("x.text"))))
+    sig = F.unhex(F.md5(F.concat_ws("\x1f", "x.kind", "ext", F.col("bytes").cast("string"), "x.text")))
+    return rows.select("k", "batch", sig.alias("sig"), zone(_size_range(F.col("bytes"))).alias("zone"), F.xxhash64(must).alias("same"), "bytes", F.col("x.text").alias("text"))
+
+
+def _log(b: Column) -> Column:
+    return F.log(b.cast("double")) / math.log1p(SIZE_WIDTH)
 
 
 def _size_range(b: Column) -> Column:
-    """Ranges of sizes so wide that sizes within SIZE_SHARE lie in one or in neighbours; sizes of zero or less have their own."""
-    return F.when(b > 0, F.floor(F.log(b.cast("double")) / -math.log1p(-SIZE_SHARE))).otherwise(-b - 1).cast("bigint")
+    """Ranges of sizes; sizes of zero or less have their own each, as only equal ones agree."""
+    return F.when(b > 0, F.floor(_log(b))).otherwise(b - 1).cast("bigint")
+
+
+def _near_sizes(b: Column) -> Column:
+    """The size ranges in which sizes within SIZE_SHARE lie."""
+    d = -math.log1p(-SIZE_SHARE) / math.log1p(SIZE_WIDTH) + 1e-9
+    return F.when(b > 0, F.sequence(F.greatest(F.floor(_log(b) - d), F.lit(0)), F.floor(_log(b) + d))).otherwise(F.array(_size_range(b)))
+
+
+def zone(size_range: Column) -> Column:
+    """At most a few dozen zones cover all sizes."""
+    return F.when(size_range < 0, F.lit(-1)).otherwise(F.floor(size_range / ZONE)).cast("int")
+
+
+def pivots(text: Column) -> Column:
+    """The distances to PIVOTS in one number, 15 bits each; beyond that they count as 32767, which keeps the triangle inequality."""
+    out = F.lit(0).cast("bigint")
+    for i, p in enumerate(PIVOTS):
+        out = out + F.shiftleft(F.least(F.levenshtein(text, F.lit(p)), F.lit(32767)).cast("bigint"), 15 * i)
+    return out
+
 
+def _distance(p: Column, i: int) -> Column:
+    return F.shiftright(p, 15 * i).bitwiseAND(32767)
 
-def agreeing(new: DataFrame, history: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs of signatures (sig_n, sig_h) that agree, of two pivot tables; a signature in both agrees with itself.
 
-    Equal signatures count once, however many rows share one. The join key is (kind, ext, numbers, size range, range of the first
-    pivot distance); the new side is laid out over the neighbouring ranges, whose number is fixed. The other pivots prune
-    before the true distance is computed.
+def distinct_signatures(rows: DataFrame) -> DataFrame:
+    """The rows of the pivot table: one per signature, ``sig, zone, same, bytes, text, p``; many: more than one record has it."""
+    one = rows.groupBy("sig", "zone", "same", "bytes", "text").agg((F.min("k") < F.max("k")).alias("many"))
+    return one.withColumn("p", pivots(F.col("text")))
+
+
+def agreeing(new: DataFrame, history: DataFrame, edits: int = EDITS, within: bool = False) -> DataFrame:
+    """Pairs of signatures (sig_n, sig_h) that agree, of two pivot tables; one in both agrees with itself.
+
+    The join key is (same, size range, range of the first pivot distance): each signature of history lies in one range, and those of the new
+    side are laid out over the two or three that theirs reach, so a pair meets once. The other pivots and the size prune before the true
+    distance is computed. within: both are the same table, so a signature's pair with itself counts only where several records have it.
     """
-    cols = ["sig", "kind", "ext", "bytes", "text", "nums", "pivots"]
-    width = edits + 1
-    first = lambda p: F.floor(p[1] / width)
-    n, h = (x.select(*cols).dropDuplicates(["sig"]) for x in (new, history))
-    h = h.select(*[F.col(c).alias(f"{c}_h") for c in cols], _size_range(F.col("bytes")).alias("sr"), first(F.col("pivots")).alias("pr"))
-    # every value of the first pivot distance within +-edits lies in these ranges
-    near = F.array_distinct(F.array(F.floor((F.col("pivots")[1] - edits) / width), first(F.col("pivots")), F.floor((F.col("pivots")[1] + edits) / width)))
-    sizes = F.when(F.col("bytes") > 0, F.array(_size_range(F.col("bytes")) - 1, _size_range(F.col("bytes")), _size_range(F.col("bytes")) + 1)).otherwise(F.array(_size_range(F.col("bytes"))))
-    n = n.withColumn("sr", F.explode(sizes)).withColumn("pr", F.explode(near)).select(*[F.col(c).alias(f"{c}_n") for c in cols], "sr", "pr")
-    on = [F.col(f"{c}_n") == F.col(f"{c}_h") for c in ("kind", "ext", "nums")] + [n["sr"] == h["sr"], n["pr"] == h["pr"]]
-    cond = on[0]
-    for c in on[1:]:
-        cond &= c
+    cols = ["sig", "same", "bytes", "text", "p", "many"]
+    range_of = lambda d: F.floor(d / PIVOT_WIDTH).cast("int")
+    h = history.select(*[F.col(c).alias(f"{c}_h") for c in cols], _size_range(F.col("bytes")).alias("sr"), range_of(_distance(F.col("p"), 1)).alias("pr"))
+    at = _distance(F.col("p"), 1)
+    n = new.withColumn("sr", F.explode(_near_sizes(F.col("bytes")))).withColumn("pr", F.explode(F.sequence(range_of(F.greatest(at - edits, F.lit(0))), range_of(at + edits))))
+    n = n.select(*[F.col(c).alias(f"{c}_n") for c in cols], "sr", "pr")
+    cond = (F.col("same_n") == F.col("same_h")) & (n["sr"] == h["sr"]) & (n["pr"] == h["pr"])
     for i in range(len(PIVOTS)):
-        cond &= F.abs(F.col("pivots_n")[i] - F.col("pivots_h")[i]) <= edits
+        cond &= F.abs(_distance(F.col("p_n"), i) - _distance(F.col("p_h"), i)) <= edits
     cond &= F.abs(F.col("bytes_n") - F.col("bytes_h")) <= SIZE_SHARE * F.greatest(F.abs("bytes_n"), F.abs("bytes_h"))
+    if within:
+        cond &= (F.col("sig_n") != F.col("sig_h")) | F.col("many_n")
     return n.join(h, cond).where(F.levenshtein("text_n", "text_h", edits).between(0, edits)).select("sig_n", "sig_h")
 
 
-def check_batch(new: DataFrame, history: DataFrame, key: str = "data_id") -> DataFrame:
-    """Pairs ``<key>_a, <key>_b`` of records from different batches that agree, one side in new and the other in history.
-
-    Both arguments are pivot tables (:func:`signatures`); history is only read, never computed anew. Every pair of a file is
-    returned, not only neighbours; a pair within one batch, and a key with itself, are none. A null batch equals only another null.
-    Rows that repeat another in full count once. Empty tables give an empty result.
-    """
-    p = agreeing(new, history)
+def _pairs(p: DataFrame, new: DataFrame, history: DataFrame, key: str) -> DataFrame:
+    """Pairs of records from pairs of signatures."""
     a = new.select(F.col("sig").alias("sig_n"), F.col("k").alias("a"), F.col("batch").alias("ba"))
     b = history.select(F.col("sig").alias("sig_h"), F.col("k").alias("b"), F.col("batch").alias("bb"))
-    pairs = p.join(a, "sig_n").join(b, "sig_h").where(~F.col("ba").eqNullSafe(F.col("bb")) & (F.col("a") != F.col("b")))
-    return pairs.select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")).distinct()
+    both = p.join(a, "sig_n").join(b, "sig_h").where(~F.col("ba").eqNullSafe(F.col("bb")) & (F.col("a") != F.col("b")))
+    return both.select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")).distinct()
 
 
 class PivotTable:
-    """History on disk: signatures by batch. ``add`` checks a batch against all that was accepted, then appends its rows."""
+    """History on disk. ``add`` stores what arrives and checks it against all that was stored before and against itself.
+
+    Below the path, ``keys/add=N`` has a row per record and kind of text (k, batch, sig), ``sigs/add=N/zone=Z`` one per signature with text and pivot
+    distances, sorted by size within a file. An add reads of history only the zones its own sizes reach. Adds are numbered; one that was cut off before
+    its marker ``done/add=N`` is written does not count and is written anew, so a re-run stores nothing twice.
+    """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
+        self.spark, self.path = spark, path or new_folder(spark, "pivots")
 
-    def history(self) -> DataFrame | None:
+    def adds(self) -> list[int]:
+        """Numbers of the finished adds."""
         jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.path)
-        if not at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at):
-            return None
-        return self.spark.read.parquet(self.path)
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/done")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(at)) if fs.exists(at) else []
+
+    def _read(self, what: str, adds: list[int]) -> DataFrame:
+        schema = {"keys": "k long, batch string, sig binary", "sigs": "sig binary, same long, bytes long, text string, many boolean, p long, zone int"}[what]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{what}").parquet(*[f"{self.path}/{what}/add={i}" for i in adds])
 
-    def add(self, batch: DataFrame, key: str = "data_id") -> DataFrame:
-        """Pairs of the batch with history (and across batches within it); afterwards the batch is part of history.
+    def add(self, batches: DataFrame, key: str = "data_id", **columns: str) -> DataFrame:
+        """Pairs ``<key>_a, <key>_b`` of records from different batches that agree, one side new, the other new or in history.
 
-        The result's rows must be written or counted before the next add, as it reads the table lazily; a re-run of a
-        failed append may store a row twice, which changes no result.
+        batches: the rows of one batch or of several. Every pair of a file is returned, not only neighbours; a pair within one batch, and a key
+        with itself, are none. A null batch equals only another null. Rows that repeat another in full count once. Empty tables give an empty
+        result. The result is read from the table, so it stays the same whatever is added later.
         """
-        new = signatures(batch, key)
-        old = self.history()
-        found = check_batch(new, new if old is None else old.select(*new.columns).unionByName(new), key)
-        new.write.mode("append").parquet(self.path)
-        return found
+        old = self.adds()
+        no = max(old, default=0) + 1
+        rows = f"{self.path}/keys/add={no}"
+        signatures(batches, key, **columns).write.mode("overwrite").parquet(rows)
+        full = self.spark.read.schema("k long, batch string, sig binary, zone int, same long, bytes long, text string").parquet(rows)
+        distinct_signatures(full).sortWithinPartitions("zone", "bytes").write.mode("overwrite").partitionBy("zone").parquet(f"{self.path}/sigs/add={no}")
+        self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/done/add={no}").getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/done/add={no}"))
+        return self.check(no, key)
+
+    def check(self, no: int, key: str = "data_id") -> DataFrame:
+        """The result of an add."""
+        old = [i for i in self.adds() if i < no]
+        new, mine = self._read("sigs", [no]), self._read("keys", [no])
+        # a size near the edge of its zone reaches the next one; a few dozen zones at most
+        reach = new.select(F.explode(_near_sizes(F.col("bytes"))).alias("r")).select(zone(F.col("r")).alias("z")).distinct()
+        zones = [r.z for r in reach.collect()]
+        pairs = _pairs(agreeing(new, new, within=True), mine, mine, key)
+        if not old:
+            return pairs
+        history = self._read("sigs", old).where(F.col("zone").isin(zones))
+        return pairs.unionByName(_pairs(agreeing(new, history), mine, self._read("keys", old), key)).distinct()
+
+
+def check_batch(new: DataFrame, history: DataFrame | None = None, key: str = "data_id") -> DataFrame:
+    """One check without keeping the table: pairs of new with history, and within new."""
+    t = PivotTable(new.sparkSession)
+    if history is not None:
+        t.add(history, key)
+    return t.add(new, key)

@@ -173,19 +173,24 @@ def test_batches_equal_brute_force(spark):
         size = rnd.choice([None, 0, -5, 1000, 1004, 1005, 1006, 995, 200_000, 201_000, 200_999])
         data.append((rnd.choice([None, *range(200)]), rnd.choice(["b1", "b2", None]), rnd.choice(["pdf", "PDF", "epub", None]), size, rnd.choice(["".join(t), None]), rnd.choice([None, "a/b/" + "".join(t) + ".pdf", "未知/x"])))
     df = spark.createDataFrame(data, "data_id long, batch string, ext string, bytes long, title string, relative_path string").withColumn("k", F.lit(0)).withColumn("sig", F.lit(0))
-    t = batches.signatures(df)
-    assert rows(batches.check_batch(t, t)) == brute_batches(data)
-    assert batches.check_batch(t.limit(0), t).count() == 0
+    assert rows(batches.check_batch(df)) == brute_batches(data)
+    assert batches.check_batch(df.limit(0)).count() == 0 == batches.check_batch(df.limit(0), df).count()
 
 
 def test_pivot_table(spark, tmp_path, data):
     df = spark.read.parquet(f"{data}/scan_batches.parquet")
-    whole = batches.signatures(df)
-    want = rows(batches.check_batch(whole, whole))
+    want = rows(batches.check_batch(df))
     table, got = batches.PivotTable(spark, str(tmp_path / "pivots")), set()
     for lo, hi in (("", "2024-01-14"), ("2024-01-14", "2024-06-30"), ("2024-06-30", "9")):
-        got |= set(rows(table.add(df.where((F.col("batch") > lo) & (F.col("batch") <= hi)))))
-    assert sorted(got) == want
+        part = df.where((F.col("batch") > lo) & (F.col("batch") <= hi))
+        result = table.add(part)
+        got |= set(rows(result))
+    assert sorted(got) == want == sorted({tuple(r) for r in brute_batches([tuple(r) for r in df.select("data_id", "batch", "ext", "bytes", "title", "relative_path").collect()])})
+    assert table.adds() == [1, 2, 3] and rows(table.check(2)) and set(rows(table.check(3))) == set(rows(result))
+    # an add of one size reads one or two zones of history
+    one = table.add(df.where("bytes is not null").limit(1).select("*").withColumn("data_id", F.lit(10**9).cast("long")).withColumn("batch", F.lit("2030-01-01")))
+    plan = one._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*zone", plan) and rows(one)
 
 
 # --- problem 1 -------------------------------------------------------------------------------------------------------
