@@ -129,8 +129,9 @@ class PivotTable:
     """History on disk. ``add`` stores what arrives and checks it against all that was stored before and against itself.
 
     Below the path, ``keys/add=N`` has a row per record and kind of text (k, batch, sig), ``sigs/add=N/zone=Z`` one per signature with text and pivot
-    distances, sorted by size within a file. An add reads of history only the zones its own sizes reach. Adds are numbered; one that was cut off before
-    its marker ``done/add=N`` is written does not count and is written anew, so a re-run stores nothing twice.
+    distances, sorted by size within a file, and ``found/add=N`` the pairs of signatures that agree. An add reads of history only the
+    zones its own sizes reach. Adds are numbered; one that was cut off before its marker ``done/add=N`` is written does not count and is
+    written anew, so a re-run stores nothing twice.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
@@ -144,7 +145,7 @@ class PivotTable:
         return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(at)) if fs.exists(at) else []
 
     def _read(self, what: str, adds: list[int]) -> DataFrame:
-        schema = {"keys": "k long, batch string, sig binary", "sigs": "sig binary, same long, bytes long, text string, many boolean, p long, zone int"}[what]
+        schema = {"keys": "k long, batch string, sig binary", "sigs": "sig binary, same long, bytes long, text string, many boolean, p long, zone int", "found": "sig_n binary, sig_h binary, own boolean"}[what]
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{what}").parquet(*[f"{self.path}/{what}/add={i}" for i in adds])
 
     def add(self, batches: DataFrame, key: str = "data_id", **columns: str) -> DataFrame:
@@ -156,25 +157,28 @@ class PivotTable:
         """
         old = self.adds()
         no = max(old, default=0) + 1
-        rows = f"{self.path}/keys/add={no}"
-        signatures(batches, key, **columns).write.mode("overwrite").parquet(rows)
-        full = self.spark.read.schema("k long, batch string, sig binary, zone int, same long, bytes long, text string").parquet(rows)
-        distinct_signatures(full).sortWithinPartitions("zone", "bytes").write.mode("overwrite").partitionBy("zone").parquet(f"{self.path}/sigs/add={no}")
-        self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/done/add={no}").getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/done/add={no}"))
+        at = lambda what: f"{self.path}/{what}/add={no}"
+        signatures(batches, key, **columns).write.mode("overwrite").parquet(at("keys"))
+        full = self.spark.read.schema("k long, batch string, sig binary, zone int, same long, bytes long, text string").parquet(at("keys"))
+        distinct_signatures(full).sortWithinPartitions("zone", "bytes").write.mode("overwrite").partitionBy("zone").parquet(at("sigs"))
+        new = self._read("sigs", [no])
+        found = agreeing(new, new, within=True).withColumn("own", F.lit(True))
+        if old:
+            # a size near the edge of its zone reaches the next one; a few dozen zones at most
+            reach = new.select(F.explode(_near_sizes(F.col("bytes"))).alias("r")).select(zone(F.col("r")).alias("z")).distinct()
+            history = self._read("sigs", old).where(F.col("zone").isin([r.z for r in reach.collect()]))
+            found = found.unionByName(agreeing(new, history).withColumn("own", F.lit(False)))
+        found.write.mode("overwrite").parquet(at("found"))
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(at("done"))
+        done.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(done)
         return self.check(no, key)
 
     def check(self, no: int, key: str = "data_id") -> DataFrame:
         """The result of an add."""
+        found, mine = self._read("found", [no]), self._read("keys", [no])
+        pairs = _pairs(found.where("own"), mine, mine, key)
         old = [i for i in self.adds() if i < no]
-        new, mine = self._read("sigs", [no]), self._read("keys", [no])
-        # a size near the edge of its zone reaches the next one; a few dozen zones at most
-        reach = new.select(F.explode(_near_sizes(F.col("bytes"))).alias("r")).select(zone(F.col("r")).alias("z")).distinct()
-        zones = [r.z for r in reach.collect()]
-        pairs = _pairs(agreeing(new, new, within=True), mine, mine, key)
-        if not old:
-            return pairs
-        history = self._read("sigs", old).where(F.col("zone").isin(zones))
-        return pairs.unionByName(_pairs(agreeing(new, history), mine, self._read("keys", old), key)).distinct()
+        return pairs.unionByName(_pairs(found.where("not own"), mine, self._read("keys", old), key)).distinct() if old else pairs
 
 
 def check_batch(new: DataFrame, history: DataFrame | None = None, key: str = "data_id") -> DataFrame:

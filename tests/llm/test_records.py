@@ -187,10 +187,11 @@ def test_pivot_table(spark, tmp_path, data):
         got |= set(rows(result))
     assert sorted(got) == want == sorted({tuple(r) for r in brute_batches([tuple(r) for r in df.select("data_id", "batch", "ext", "bytes", "title", "relative_path").collect()])})
     assert table.adds() == [1, 2, 3] and rows(table.check(2)) and set(rows(table.check(3))) == set(rows(result))
-    # an add of one size reads one or two zones of history
-    one = table.add(df.where("bytes is not null").limit(1).select("*").withColumn("data_id", F.lit(10**9).cast("long")).withColumn("batch", F.lit("2030-01-01")))
-    plan = one._jdf.queryExecution().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*zone", plan) and rows(one)
+    # one size reads one or two zones of history
+    new, history = table._read("sigs", [3]), table._read("sigs", [1, 2]).where(F.col("zone").isin([7, 8]))
+    plan = batches.agreeing(new.where("bytes = 1000"), history)._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*zone", plan)
+    assert re.search(r"zone=\d", " ".join(str(p) for p in (tmp_path / "pivots" / "sigs" / "add=1").iterdir()))
 
 
 # --- problem 1 -------------------------------------------------------------------------------------------------------
