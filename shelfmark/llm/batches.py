@@ -95,16 +95,19 @@ def distinct_signatures(rows: DataFrame) -> DataFrame:
     return one.withColumn("p", pivots(F.col("text")))
 
 
-def agreeing(new: DataFrame, history: DataFrame, edits: int = EDITS, within: bool = False) -> DataFrame:
-    """Pairs of signatures (sig_n, sig_h) that agree, of two pivot tables; one in both agrees with itself.
+def agreeing(new: DataFrame, history: DataFrame | None = None, edits: int = EDITS) -> DataFrame:
+    """Pairs of signatures that agree, of new with new (own) and with history: ``sig_n, sig_h, own``.
 
     The join key is (same, size range, range of the first pivot distance): each signature of history lies in one range, and those of the new
     side are laid out over the two or three that theirs reach, so a pair meets once. The other pivots and the size prune before the true
-    distance is computed. within: both are the same table, so a signature's pair with itself counts only where several records have it.
+    distance is computed. A signature of new agrees with itself only where several records have it.
     """
     cols = ["sig", "same", "bytes", "text", "p", "many"]
     range_of = lambda d: F.floor(d / PIVOT_WIDTH).cast("int")
-    h = history.select(*[F.col(c).alias(f"{c}_h") for c in cols], _size_range(F.col("bytes")).alias("sr"), range_of(_distance(F.col("p"), 1)).alias("pr"))
+    known = new.withColumn("own", F.lit(True))
+    if history is not None:
+        known = known.unionByName(history.withColumn("own", F.lit(False)))
+    h = known.select("own", *[F.col(c).alias(f"{c}_h") for c in cols], _size_range(F.col("bytes")).alias("sr"), range_of(_distance(F.col("p"), 1)).alias("pr"))
     at = _distance(F.col("p"), 1)
     n = new.withColumn("sr", F.explode(_near_sizes(F.col("bytes")))).withColumn("pr", F.explode(F.sequence(range_of(F.greatest(at - edits, F.lit(0))), range_of(at + edits))))
     n = n.select(*[F.col(c).alias(f"{c}_n") for c in cols], "sr", "pr")
@@ -112,9 +115,8 @@ def agreeing(new: DataFrame, history: DataFrame, edits: int = EDITS, within: boo
     for i in range(len(PIVOTS)):
         cond &= F.abs(_distance(F.col("p_n"), i) - _distance(F.col("p_h"), i)) <= edits
     cond &= F.abs(F.col("bytes_n") - F.col("bytes_h")) <= SIZE_SHARE * F.greatest(F.abs("bytes_n"), F.abs("bytes_h"))
-    if within:
-        cond &= (F.col("sig_n") != F.col("sig_h")) | F.col("many_n")
-    return n.join(h, cond).where(F.levenshtein("text_n", "text_h", edits).between(0, edits)).select("sig_n", "sig_h")
+    cond &= ~F.col("own") | (F.col("sig_n") != F.col("sig_h")) | F.col("many_n")
+    return n.join(h, cond).where(F.levenshtein("text_n", "text_h", edits).between(0, edits)).select("sig_n", "sig_h", "own")
 
 
 def _pairs(p: DataFrame, new: DataFrame, history: DataFrame, key: str) -> DataFrame:
@@ -146,7 +148,8 @@ class PivotTable:
 
     def _read(self, what: str, adds: list[int]) -> DataFrame:
         schema = {"keys": "k long, batch string, sig binary", "sigs": "sig binary, same long, bytes long, text string, many boolean, p long, zone int", "found": "sig_n binary, sig_h binary, own boolean"}[what]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{what}").parquet(*[f"{self.path}/{what}/add={i}" for i in adds])
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{what}").parquet(*[f"{self.path}/{what}/add={i}" for i in adds])
+        return rows.select(*[c.split()[0] for c in schema.split(", ")])
 
     def add(self, batches: DataFrame, key: str = "data_id", **columns: str) -> DataFrame:
         """Pairs ``<key>_a, <key>_b`` of records from different batches that agree, one side new, the other new or in history.
@@ -162,13 +165,12 @@ class PivotTable:
         full = self.spark.read.schema("k long, batch string, sig binary, zone int, same long, bytes long, text string").parquet(at("keys"))
         distinct_signatures(full).sortWithinPartitions("zone", "bytes").write.mode("overwrite").partitionBy("zone").parquet(at("sigs"))
         new = self._read("sigs", [no])
-        found = agreeing(new, new, within=True).withColumn("own", F.lit(True))
+        history = None
         if old:
             # a size near the edge of its zone reaches the next one; a few dozen zones at most
             reach = new.select(F.explode(_near_sizes(F.col("bytes"))).alias("r")).select(zone(F.col("r")).alias("z")).distinct()
             history = self._read("sigs", old).where(F.col("zone").isin([r.z for r in reach.collect()]))
-            found = found.unionByName(agreeing(new, history).withColumn("own", F.lit(False)))
-        found.write.mode("overwrite").parquet(at("found"))
+        agreeing(new, history).write.mode("overwrite").parquet(at("found"))
         done = self.spark._jvm.org.apache.hadoop.fs.Path(at("done"))
         done.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(done)
         return self.check(no, key)
