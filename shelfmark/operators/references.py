@@ -1,7 +1,8 @@
 """References to records that do not exist (problem 7): sorted parent arrays by key range, probed by binary search.
 
-Keys are cut into ranges. Of each range the parents are one sorted array of validity spans, a bounded one, and the references come
-in salted batches of bounded size; a batch is answered by a vectorised binary search.
+Keys are cut into ranges, as wide as it takes to hold about RANGE parents at the parents' mean density. Of each range the parents are one sorted
+array of validity spans, and the references come in batches; a batch is answered by a vectorised binary search. A range where parents
+or references crowd is cut finer, and references that even one key has too many of are dealt to several batches.
 """
 
 from __future__ import annotations
@@ -33,11 +34,11 @@ def _probe(k: np.ndarray, s: np.ndarray, e: np.ndarray, ref: np.ndarray, at: np.
     k, s, e = k[order], s[order], e[order]
     new = np.append(True, k[1:] != k[:-1])
     if not new.all():
-        # the latest end so far among the spans of a key that have begun
-        seg = np.flatnonzero(new)
-        for a, b in zip(seg, np.append(seg[1:], len(k))):
-            if b - a > 1:
-                e[a:b] = np.maximum.accumulate(e[a:b])
+        # the latest end so far among the spans of a key that have begun: running maxima of ranks, restarted at each key
+        seg, by = np.cumsum(new) - 1, np.argsort(e, kind="stable")
+        rank = np.empty(len(e), np.int64)
+        rank[by] = np.arange(len(e))
+        e = e[by][np.maximum.accumulate(seg * len(e) + rank) - seg * len(e)]
     # last span of the key that has begun at the time: a search over the pairs, by rank of time within the sorted keys
     lo, hi = np.searchsorted(k, ref, "left"), np.searchsorted(k, ref, "right")
     live = lo < hi
@@ -66,27 +67,31 @@ def orphans(refs: DataFrame, parents: dict[str, tuple[DataFrame, str, str, str |
     of parents makes every reference an orphan.
 
     References are reduced to distinct (field, id, period, time) by partial aggregation first, so a key named by any share of the rows costs
-    as many probes as it has distinct times. Ranges whose references exceed a batch are salted; their parents are laid out
-    once per salt. Nothing is broadcast but the counts of the ranges that need a salt, at most references / batch rows.
+    as many probes as it has distinct times. Ranges that hold more than ``batch`` references or parents are cut to ``range_size`` key values, and
+    their references dealt to batches, with the parents laid out once per batch. Such ranges are few, but their list is joined like any
+    table; nothing is broadcast or collected but the count, least and greatest key of each parent table. The spans of one key stay in one array.
     """
     stack = [F.struct(F.lit(f).alias("f"), F.col(f).cast("bigint").alias("k")) for f in parents]
     t = F.unix_micros(F.col(at).cast("timestamp")).alias("t")
     long = refs.select(F.col(period).alias("p"), t, F.explode(F.array(*stack)).alias("x")).select("x.f", "x.k", "p", "t").where("k is not null and t is not null").distinct()
-    ranged = lambda d: d.withColumn("r", F.floor(F.col("k") / range_size))
-    keys = ranged(long)
-    load = keys.groupBy("f", "r").agg(F.count("*").alias("n")).where(F.col("n") > batch).select("f", "r", F.ceil(F.col("n") / batch).cast("int").alias("salts"))
-    load = load.collect()  # at most references / batch rows
-    spark = refs.sparkSession
-    salts = spark.createDataFrame([(x.f, x.r, x.salts) for x in load], "f string, r bigint, salts int")
-    keys = keys.join(F.broadcast(salts), ["f", "r"], "left").withColumn("salt", F.pmod(F.xxhash64("k", "t", "p"), F.coalesce("salts", F.lit(1)))).select("f", "r", "salt", "k", "p", "t")
-    held = None
+    held, width = None, F.lit(range_size)
     for f, (table, key, start, end) in parents.items():
-        d = ranged(spans(table, key, start, end)).withColumn("f", F.lit(f))
+        d = spans(table, key, start, end)
+        n, lo, hi = table.agg(F.count(key), F.min(key), F.max(key)).first()
+        width = F.when(F.col("f") == f, F.lit(max(range_size, range_size * ((hi - lo) // n)) if n else range_size)).otherwise(width)
+        d = d.withColumn("f", F.lit(f))
         held = d if held is None else held.unionByName(d)
-    held = held.join(F.broadcast(salts), ["f", "r"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)).cast("bigint") - 1))).select("f", "r", "salt", "k", "s", "e")
-    arrays = held.groupBy("f", "r", "salt").agg(F.collect_list("k").alias("pk"), F.collect_list("s").alias("ps"), F.collect_list("e").alias("pe"))
-    probes = keys.groupBy("f", "r", "salt").agg(F.collect_list(F.struct("k", "p", "t")).alias("q"))
-    both = probes.join(arrays, ["f", "r", "salt"], "left").select("f", "q", "pk", "ps", "pe")
+    ranged = lambda d: d.withColumn("r", F.floor(F.col("k") / width))
+    load = lambda d, n: ranged(d).groupBy("f", "r").agg(F.count("*").alias(n))
+    crowded = load(long, "n").join(load(held, "m"), ["f", "r"], "left").where((F.col("n") > batch) | (F.col("m") > batch)).select("f", "r", F.ceil(F.col("n") / batch).cast("int").alias("salts"))
+    # a crowded range's second number is the finer range, any other's is 0
+    fine = lambda d: ranged(d).join(crowded, ["f", "r"], "left").withColumn("i", F.when(F.col("salts").isNull(), 0).otherwise(F.floor(F.col("k") / range_size)))
+    keys = fine(long).withColumn("salt", F.pmod(F.xxhash64("k", "t", "p"), F.coalesce("salts", F.lit(1)))).select("f", "r", "i", "salt", "k", "p", "t")
+    held = fine(held).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)).cast("bigint") - 1))).select("f", "r", "i", "salt", "k", "s", "e")
+    cell = ["f", "r", "i", "salt"]
+    arrays = held.groupBy(*cell).agg(F.collect_list("k").alias("pk"), F.collect_list("s").alias("ps"), F.collect_list("e").alias("pe"))
+    probes = keys.groupBy(*cell).agg(F.collect_list(F.struct("k", "p", "t")).alias("q"))
+    both = probes.join(arrays, cell, "left").select("f", "q", "pk", "ps", "pe")
     p_type = refs.schema[period].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
