@@ -1,18 +1,22 @@
 """Differences between two copies of data (problem 4): set reconciliation by characteristic polynomials.
 
 Each row becomes one element of the field of 2^61 - 1 elements, a hash of its key and compared values, and rows fall into buckets by a hash of
-their key. Of a bucket, each side is known by the values of its characteristic polynomial, the product of (z - x), at sample points.
-The ratio of the two sides' values is a rational function whose zeros and poles are the differing rows; it is interpolated
-under a bound on their number that doubles until further points confirm it. Only rows so recovered are fetched and compared.
+their key. Of a bucket each side sends only a sketch: the number of its elements and the values of its characteristic polynomial, the product
+of (z - x), at sample points. Where the sketches differ, the ratio of the two sides' values is a rational function whose zeros and poles are the
+differing rows; it is interpolated under a bound on their number that doubles until further points confirm it. Buckets that need more points than
+their sketch has send a longer one. Each side gets its polynomial back and finds the rows that are roots; only these are fetched and compared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.session import cut
 from shelfmark.functions.text import blank, strip
 
 P = np.uint64((1 << 61) - 1)
@@ -20,7 +24,9 @@ _31, _30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 #: Rows hash below 2^60; sample points lie above, so that no factor is zero.
 HASH_BITS = 60
 #: Rows of both sides per bucket, aimed at; first bound on the differences; points that confirm.
-BUCKET, FIRST_BOUND, CONFIRM = 128, 8, 2
+BUCKET, FIRST_BOUND, CONFIRM = 64, 8, 2
+#: The bound that a first sketch allows, and by how much one grows that did not suffice.
+SKETCH, GROWTH = 16, 8
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
@@ -39,94 +45,217 @@ def sub(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(a >= b, a - b, a + P - b)
 
 
+# Polynomials are lists of coefficients, lowest first.
+_M = int(P)
+
+
 def inverse(a: int) -> int:
-    return pow(int(a), int(P) - 2, int(P))
+    return pow(a, -1, _M)
 
 
 def points(n: int) -> np.ndarray:
     return np.arange(n, dtype=np.uint64) + np.uint64(1 << HASH_BITS)
 
 
+def _products(m: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Column-wise field products of consecutive runs of rows."""
+    while len(lengths) and lengths.max() > 1:
+        start = np.append(0, np.cumsum(lengths)[:-1])
+        place = np.arange(len(m)) - np.repeat(start, lengths)
+        even = np.flatnonzero(place % 2 == 0)
+        paired = np.flatnonzero(place[even] + 1 < np.repeat(lengths, lengths)[even])
+        out = m[even]
+        out[paired] = mul(out[paired], m[even[paired] + 1])
+        m, lengths = out, (lengths + 1) // 2
+    return m
+
+
 def characteristic(elements: np.ndarray, z: np.ndarray) -> np.ndarray:
     """Value of the product of (z - x) over all elements at each point."""
-    m = sub(z[:, None], elements[None, :].astype(np.uint64))
-    if not m.shape[1]:
+    if not len(elements):
         return np.ones(len(z), np.uint64)
-    while m.shape[1] > 1:
-        if m.shape[1] % 2:
-            m = np.concatenate([m, np.ones((len(z), 1), np.uint64)], axis=1)
-        m = mul(m[:, ::2], m[:, 1::2])
-    return m[:, 0]
+    return _products(sub(z[None, :], elements.astype(np.uint64)[:, None]), np.array([len(elements)]))[0]
 
 
-def _solve(a: np.ndarray) -> np.ndarray | None:
-    """A solution of the augmented system, free unknowns zero; None if there is none."""
-    a = a.copy()
-    rows, cols = a.shape[0], a.shape[1] - 1
+def _solve(a: list[list[int]]) -> list[int] | None:
+    """A solution of the augmented system, free unknowns zero; None if there is none. Small systems: plain integers are the fastest."""
+    cols = len(a[0]) - 1
     pivots, r = [], 0
     for c in range(cols):
-        at = np.flatnonzero(a[r:, c])
-        if not len(at):
+        k = next((i for i in range(r, len(a)) if a[i][c]), None)
+        if k is None:
             continue
-        k = r + int(at[0])
-        if k != r:
-            a[[r, k]] = a[[k, r]]
-        a[r] = mul(a[r], np.uint64(inverse(a[r, c])))
-        f = a[:, c].copy()
-        f[r] = 0
-        hit = np.flatnonzero(f)
-        if len(hit):
-            a[hit] = sub(a[hit], mul(f[hit][:, None], a[r][None, :]))
+        a[r], a[k] = a[k], a[r]
+        f = inverse(a[r][c])
+        top = a[r] = [x * f % _M for x in a[r]]
+        for i, row in enumerate(a):
+            if i != r and (f := row[c]):
+                a[i] = [(x - f * y) % _M for x, y in zip(row, top)]
         pivots.append(c)
         r += 1
-        if r == rows:
+        if r == len(a):
             break
-    if a[r:, cols].any():
+    if any(row[cols] for row in a[r:]):
         return None
-    x = np.zeros(cols, np.uint64)
-    x[pivots] = a[: len(pivots), cols]
+    x = [0] * cols
+    for c, row in zip(pivots, a):
+        x[c] = row[cols]
     return x
 
 
-def _value(coefficients: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A monic polynomial, lowest coefficient first without the leading one, at each x."""
-    y = np.ones(len(x), np.uint64)
-    for c in coefficients[::-1]:
-        y = _reduce(mul(y, x) + c)
+def _value(coefficients: list[int], x: int) -> int:
+    """A polynomial, lowest coefficient first, at x."""
+    y = 0
+    for c in reversed(coefficients):
+        y = (y * x + c) % _M
     return y
 
 
-def reconcile_bucket(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Which elements of a are not in b and of b not in a, and the bound that sufficed. Both hold distinct elements."""
-    a, b = a.astype(np.uint64), b.astype(np.uint64)
-    delta, most = len(a) - len(b), len(a) + len(b)
+def _trim(a: list[int]) -> list[int]:
+    while a and not a[-1]:
+        a.pop()
+    return a
+
+
+def _divide(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Quotient and remainder by a monic polynomial."""
+    a, q = a[:], [0] * max(0, len(a) - len(b) + 1)
+    for i in range(len(q) - 1, -1, -1):
+        c = q[i] = a[i + len(b) - 1]
+        if c:
+            for j, y in enumerate(b):
+                a[i + j] = (a[i + j] - c * y) % _M
+    return q, _trim(a[: len(b) - 1])
+
+
+def _gcd(a: list[int], b: list[int]) -> list[int]:
+    """Monic greatest common divisor."""
+    while b:
+        k = inverse(b[-1])
+        b = [x * k % _M for x in b]
+        a, b = b, _divide(a, b)[1]
+    k = inverse(a[-1])
+    return [x * k % _M for x in a]
+
+
+def solve(na: int, fa: list[int], nb: int, fb: list[int]) -> tuple[list[int], list[int], int] | None:
+    """What two sketches differ in: the polynomials of the elements of a only and of b only, and the bound that sufficed; None if they have too few points."""
+    delta, most = na - nb, na + nb
+    if delta == 0 and fa == fb:
+        return [1], [1], 0
     bound = max(FIRST_BOUND, abs(delta))
     while True:
         bound = min(bound, most)
-        if (bound - delta) % 2:
-            bound += 1
-        z = points(bound + CONFIRM)
-        fa, fb = characteristic(a, z), characteristic(b, z)
-        if not bound or (delta == 0 and (fa == fb).all()):
-            return a[:0], b[:0], 0
+        bound += (bound - delta) % 2
+        if bound + CONFIRM > len(fa):
+            return None
+        z = [(1 << HASH_BITS) + i for i in range(bound + CONFIRM)]
         n, m = (bound + delta) // 2, (bound - delta) // 2
         # f_b(z) P(z) = f_a(z) Q(z) with P and Q monic of degrees n and m
-        w, k = z[:bound], np.ones((bound, max(n, m) + 1), np.uint64)
-        for i in range(1, k.shape[1]):
-            k[:, i] = mul(k[:, i - 1], w)
-        left, right = mul(k[:, :n], fb[:bound, None]), mul(k[:, :m], fa[:bound, None])
-        rhs = sub(mul(k[:, m], fa[:bound]), mul(k[:, n], fb[:bound]))
-        x = _solve(np.concatenate([left, sub(np.zeros_like(right), right), rhs[:, None]], axis=1))
+        system = []
+        for w, ga, gb in zip(z[:bound], fa, fb):
+            k = [1]
+            for _ in range(max(n, m)):
+                k.append(k[-1] * w % _M)
+            system.append([*(x * gb % _M for x in k[:n]), *(-x * ga % _M for x in k[:m]), (k[m] * ga - k[n] * gb) % _M])
+        x = _solve(system) if bound else []
         if x is not None:
-            p, q = x[:n], x[n:]
-            ra, rb = a[(_value(p, a) == 0) & (_value(q, a) != 0)], b[(_value(q, b) == 0) & (_value(p, b) != 0)]
-            if (mul(characteristic(ra, z), fb) == mul(characteristic(rb, z), fa)).all():
-                return ra, rb, bound
+            p, q = [*x[:n], 1], [*x[n:], 1]
+            if all(_value(p, w) * gb % _M == _value(q, w) * ga % _M for w, ga, gb in zip(z[bound:], fa[bound:], fb[bound:])):
+                g = _gcd(p, q)  # a bound above the number of differences leaves a common factor
+                return _divide(p, g)[0], _divide(q, g)[0], bound
         if bound >= most:
-            return np.setdiff1d(a, b), np.setdiff1d(b, a), bound
+            raise ArithmeticError("sketches of distinct elements always have a solution under this bound")
         bound *= 2
 
 
+def sketches(cells: DataFrame, n_points: int, parts: int) -> DataFrame:
+    """``bucket, l, n, f``: of each bucket and side the number of its elements and its polynomial at the first n_points points.
+
+    cells: ``bucket, l, h``. A side of a bucket is one run of rows in a partition, multiplied up batch by batch.
+    """
+    z = points(n_points)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(b: np.ndarray, l: np.ndarray, n: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+            values = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1, dtype=np.int32) * n_points), pa.array(f.astype(np.int64).ravel()))
+            return pa.record_batch([pa.array(b), pa.array(l), pa.array(n), values], names=["bucket", "l", "n", "f"])
+
+        held: tuple | None = None  # the run that the next batch may go on
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 16_384):
+                part = batch.slice(lo, 16_384)
+                b, l, h = (part.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+                first = np.flatnonzero(np.append(True, (b[1:] != b[:-1]) | (l[1:] != l[:-1])))
+                n = np.diff(np.append(first, len(b)))
+                f = _products(sub(z[None, :], h.astype(np.uint64)[:, None]), n)
+                b, l = b[first], l[first]
+                if held and held[0] == b[0] and held[1] == l[0]:
+                    n[0] += held[2]
+                    f[0] = mul(f[0], held[3])
+                elif held:
+                    yield out(*(np.array([x]) for x in held))
+                yield out(b[:-1], l[:-1], n[:-1], f[:-1])
+                held = (b[-1], l[-1], n[-1], f[-1])
+        if held:
+            yield out(*(np.array([x]) for x in held))
+
+    rows = cells.select("bucket", "l", "h").repartition(parts, "bucket", "l").sortWithinPartitions("bucket", "l")
+    return rows.mapInArrow(run, "bucket bigint, l boolean, n bigint, f array<bigint>")
+
+
+def roots(f: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which x are roots of the polynomial in their row of f, lowest coefficient first, filled up with zeros."""
+    y = np.zeros(len(x), np.uint64)
+    for c in f.T[::-1]:
+        y = _reduce(mul(y, x) + c)
+    return y == 0
+
+
+def recover(cells: DataFrame, n_rows: int) -> DataFrame:
+    """``l, h``: the elements of ``bucket, l, h`` that one side alone has.
+
+    Sketches that are equal are sorted out before Python sees them. Every round the buckets left send sketches of GROWTH times the bound, until none
+    is left; a sketch as long as the bucket always suffices.
+    """
+    spark = cells.sparkSession
+    # by rows, as bytes say little of the work; a partition stays below two million rows
+    parts = max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // 5_000)), -(-n_rows // 2_000_000), 1)
+
+    def interpolate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                fa, fb = (r[f] or [1] * len(r["fa"] or r["fb"]) for f in ("fa", "fb"))
+                got = solve(r["na"] or 0, fa, r["nb"] or 0, fb)
+                rows += [(r["bucket"], None, None)] if got is None else [(r["bucket"], side, f) for side, f in ((True, got[0]), (False, got[1])) if len(f) > 1]
+            b, l, f = zip(*rows) if rows else ((), (), ())
+            yield pa.record_batch([pa.array(b, pa.int64()), pa.array(l, pa.bool_()), pa.array(f, pa.list_(pa.int64()))], names=["bucket", "l", "f"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            l, h, f = batch.column(0), batch.column(1), batch.column(2)
+            n = f.value_lengths().to_numpy()
+            wide = np.zeros((len(n), n.max(initial=0)), np.uint64)
+            wide[np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = f.flatten().to_numpy().astype(np.uint64)
+            hit = pa.array(roots(wide, h.to_numpy().astype(np.uint64)))
+            yield pa.record_batch([l.filter(hit), h.filter(hit)], names=["l", "h"])
+
+    polynomials, bound, left = None, SKETCH, cells
+    while True:
+        pick = lambda c, name: [F.max(F.when(c, F.col("n"))).alias(f"n{name}"), F.max(F.when(c, F.col("f"))).alias(f"f{name}")]
+        both = sketches(left, bound + CONFIRM, parts).repartition(parts, "bucket").groupBy("bucket").agg(*pick(F.col("l"), "a"), *pick(~F.col("l"), "b"))
+        unequal = both.where(~(F.col("na").eqNullSafe(F.col("nb")) & F.col("fa").eqNullSafe(F.col("fb"))))
+        round_ = cut(unequal.mapInArrow(interpolate, "bucket bigint, l boolean, f array<bigint>"))
+        got = round_.where("l is not null")
+        polynomials = got if polynomials is None else polynomials.unionByName(got)
+        open_ = round_.where("l is null").select("bucket")
+        if open_.isEmpty():
+            break
+        left, bound = left.join(open_, "bucket", "left_semi"), bound * GROWTH
+    return cells.join(polynomials, ["bucket", "l"]).select("l", "h", "f").mapInArrow(find, "l boolean, h bigint")
+
+
 def entries(c: Column | str) -> Column:
     """A packed list as a sorted set: entries between semicolons without outer blanks, empty ones and repeats."""
     parts = F.transform(F.split(blank(c), ";"), strip)
@@ -145,23 +274,24 @@ def differences(df: DataFrame, key: str = "sync_id", side: str = "compare_side",
     a key like any other. Rows of other sides are ignored. Empty tables give an empty result; other columns are not read.
 
     Rows are reduced to (key, side, latest stamp, hash) by partial aggregation, so a key may hold any share of the rows. Buckets
-    hold about ``bucket`` hashes; values travel for differing rows only. The hash has 60 bits: two differing rows
-    are taken for equal with a chance of 2^-60 a row.
+    hold about ``bucket`` hashes, of which sketches travel; values travel for differing rows only, found by their keys. The hash has 60 bits: two
+    differing rows are taken for equal with a chance of 2^-60 a row.
     """
     fields = [*sets, *values]
-    norm = df.where(F.col(side).isin(left, right)).select(F.col(key).alias("k"), (F.col(side) == left).alias("l"), F.col(stamp).alias("ts"), *[entries(f).alias(f"v_{f}") for f in sets], *[one_value(f).alias(f"v_{f}") for f in values])
     mask = F.lit((1 << HASH_BITS) - 1)
-    hashed = norm.withColumn("h", F.xxhash64(F.col("k").isNull(), "k", *[f"v_{f}" for f in fields]).bitwiseAND(mask))
-    latest = hashed.groupBy("k", "l").agg(F.max(F.struct("ts", "h"))["h"].alias("h"))
-    n = max(1, -(-df.count() // bucket))
-    cells = latest.select(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(n)).alias("bucket"), "l", "h")
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        a, b, _ = reconcile_bucket(np.unique(g["h"][g["l"]].to_numpy()), np.unique(g["h"][~g["l"]].to_numpy()))
-        return pd.DataFrame({"l": np.repeat([True, False], [len(a), len(b)]), "h": np.concatenate([a, b]).astype(np.int64)})
+    def hashed(d: DataFrame) -> DataFrame:
+        norm = d.select(F.col(key).alias("k"), (F.col(side) == left).alias("l"), F.col(stamp).alias("ts"), *[entries(f).alias(f"v_{f}") for f in sets], *[one_value(f).alias(f"v_{f}") for f in values])
+        return norm.withColumn("h", F.xxhash64(F.col("k").isNull(), "k", *[f"v_{f}" for f in fields]).bitwiseAND(mask))
 
-    found = cells.groupBy("bucket").applyInPandas(run, "l boolean, h bigint")
-    rows = hashed.join(found, ["l", "h"], "left_semi")
+    mine = df.where(F.col(side).isin(left, right))
+    latest = cut(hashed(mine).groupBy("k", "l").agg(F.max(F.struct("ts", "h"))["h"].alias("h")))
+    n_rows = latest.count()
+    n = max(1, -(-n_rows // bucket))
+    cells = latest.select(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(n)).alias("bucket"), "l", "h")
+    found = cut(recover(cells, n_rows))
+    keys = latest.join(found, ["l", "h"], "left_semi").select(F.col("k").alias("_k")).distinct()
+    rows = hashed(mine.join(keys, F.col(key).eqNullSafe(F.col("_k")), "left_semi")).join(found, ["l", "h"], "left_semi")
     # of a key and side only the latest row can be among them, with its repeats; an older one that equals a found one is the same row
     sided = rows.groupBy("k").agg(*[F.max(F.when(c, F.struct(*[f"v_{f}" for f in fields]))).alias(s) for s, c in (("a", F.col("l")), ("b", ~F.col("l")))])
     facts = [F.struct(F.lit(f"{s}_missing").alias("difference"), F.lit(None).cast("string").alias("left_value"), F.lit(None).cast("string").alias("right_value"), F.col(c).isNull().alias("yes")) for s, c in ((left, "a"), (right, "b"))]

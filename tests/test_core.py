@@ -27,9 +27,30 @@ def test_bucket(common, left, right):
     rnd = np.random.default_rng(common + left)
     x = np.unique(rnd.integers(0, 1 << 60, common + left + right))
     a, b = x[: common + left], np.concatenate([x[:common], x[common + left :]])
-    ra, rb, bound = reconcile.reconcile_bucket(a, b)
-    assert set(ra.tolist()) == set(a.tolist()) - set(b.tolist()) and set(rb.tolist()) == set(b.tolist()) - set(a.tolist())
+    z = reconcile.points(4 * (left + right) + reconcile.FIRST_BOUND + reconcile.CONFIRM)
+    fa, fb = (reconcile.characteristic(x, z).tolist() for x in (a, b))
+    p, q, bound = reconcile.solve(len(a), fa, len(b), fb)
+    of = lambda f, x: set(x[reconcile.roots(np.array([f] * len(x), np.uint64).reshape(len(x), -1), x.astype(np.uint64))].tolist()) if len(f) > 1 else set()
+    assert of(p, a) == set(a.tolist()) - set(b.tolist()) and of(q, b) == set(b.tolist()) - set(a.tolist())
     assert bound <= 4 * (left + right) + reconcile.FIRST_BOUND
+    if left + right > reconcile.FIRST_BOUND:
+        assert reconcile.solve(len(a), fa[: left + right], len(b), fb[: left + right]) is None
+
+
+def test_products():
+    assert reconcile._products(np.arange(1, 8, dtype=np.uint64)[:, None], np.array([3, 1, 3])).ravel().tolist() == [6, 4, 210]
+
+
+def test_recover(spark):
+    rnd = random.Random(8)
+    h = rnd.sample(range(1 << 60), 5000)
+    # buckets with few, many and only differences, one larger than an Arrow batch
+    cells = [(i % 40, l, x) for i, x in enumerate(h[:3000]) for l in (True, False) if rnd.random() < (0.9 if i % 40 < 5 else 0.999)] + [(40, False, x) for x in h[3000:3100]]
+    cells += [(41, l, int(x)) for x in np.random.default_rng(1).choice(1 << 59, 25_000, replace=False) for l in (True, False) if not (l and x % 5000 == 0)]
+    df = spark.createDataFrame(cells, "bucket long, l boolean, h long")
+    sides = {l: {(b, x) for b, m, x in cells if m == l} for l in (True, False)}
+    want = [(True, x) for _, x in sides[True] - sides[False]] + [(False, x) for _, x in sides[False] - sides[True]]
+    assert rows(reconcile.recover(df, len(cells)).select("l", "h")) == order(want)
 
 
 SCAN = "sync_id string, compare_side string, scanned_at timestamp, authors string, tags string, publisher string, identifiers string, k string, h string"
