@@ -1,13 +1,12 @@
 """The best representative of each duplicate group (problem 1), field by field, with currency reasoning.
 
-Where rows carry time stamps, the later value of a field is the more current one. From all such successions the operator learns
-which kinds of values follow which; where a stamp is missing, a value's place in this order stands for it.
+Where rows carry time stamps, the later value of a field is the more current one. From all such successions the operator learns which traits
+values gain and which they lose as they grow current; this orders any two values in part: one is later if it has every gained trait of the other
+and lacks every lost one. Where stamps are missing, the values of a group that no other is later than stand for the current one.
 """
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +20,6 @@ NO_VALUE = (
     "未知 未知书名 不详 不明 无题 無題 无 無 无标题 無標題 未命名 空 暂无 佚名 不适用 不適用 なし 不明 無し タイトルなし"
 ).split()
 
-FAR = 2**31 - 1
-
-
 def text_value(c: Column | str) -> Column:
     """Holds a value: not null, blank, mere marks or a word for its lack."""
     return ~letters(blank(c)).isin("", *NO_VALUE)
@@ -34,109 +30,100 @@ def size_value(c: Column | str) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c) > 0, F.lit(False))
 
 
-def text_kind(c: Column | str) -> Column:
-    """One of at most 64 kinds of text by traits that an edit changes: a bracket, inner blanks, a list, script, length, case."""
+#: Traits of a text that an edit changes: a bracket, a blank, a list, other than ASCII, length, a capital, a digit, a folder.
+TRAITS = (r"[(\[（【]", r"\s", ";", r"[^\x00-\x7f]", r"(?s)^.{61,}", r"\p{Lu}", r"\p{Nd}", r"[/\\]")
+
+
+def text_traits(c: Column | str) -> Column:
+    """A bit per trait."""
     x = strip(blank(c))
-    bit = lambda b, n: F.when(b, F.lit(1 << n)).otherwise(F.lit(0))
-    return bit(x.rlike(r"[(\[（【]"), 0) + bit(x.rlike(r"\s"), 1) + bit(x.contains(";"), 2) + bit(x.rlike(r"[^\x00-\x7f]"), 3) + bit(F.length(x) > 60, 4) + bit(x.rlike(r"\p{Lu}"), 5)
+    out = F.lit(0).cast("bigint")
+    for i, rx in enumerate(TRAITS):
+        out = out + F.when(x.rlike(rx), F.lit(1 << i)).otherwise(0)
+    return out
 
 
-def size_kind(c: Column | str) -> Column:
-    """Power of two of a size, below 64."""
+def size_traits(c: Column | str) -> Column:
+    """Bit i: the size is at least 2 to the power of i + 1; 62 bits."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.when(x > 0, F.floor(F.log2(x.cast("double")))).otherwise(0).cast("int")
+    level = F.when(x > 0, F.floor(F.log2(x.cast("double")))).otherwise(0).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.least(level, F.lit(62))) - 1
 
 
-def precedence(versions: DataFrame, fields: dict[str, tuple[Column, Column]], margin: float = 2.0) -> DataFrame:
-    """How often, over all rows, a value of one kind was followed by one of another: ``field, older, newer, n``.
+def precedence(versions: DataFrame, fields: dict[str, Column], margin: float = 2.0) -> dict[str, tuple[int, int]]:
+    """Field -> bits that values gain over time and bits that they lose.
 
-    Learned from successive stamped rows of one record. Kinds number at most 64 a field, so the table has at most 4096 rows a field.
-    A row is kept where one direction outweighs the other by the margin in standard deviations.
+    versions: ``g, k, ts`` and what fields (masks, null where there is no value) need. Learned from the first and last stamped value of each record, by
+    aggregation with partial results, however many rows a record has. A bit counts if one direction outweighs the other by the margin in standard
+    deviations. At most 126 rows a field reach the driver.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("g", "k").orderBy("ts")
-    stack = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.when(ok, kind).alias("kind")) for f, (ok, kind) in fields.items()])).alias("x")
-    kinds = versions.where(F.col("ts").isNotNull()).select("g", "k", "ts", stack).select("g", "k", "ts", "x.field", "x.kind").where("kind is not null").distinct()
-    w = Window.partitionBy("g", "k", "field").orderBy("ts", "kind")
-    steps = kinds.withColumn("older", F.lag("kind").over(w)).where("older is not null and older <> kind").groupBy("field", "older", F.col("kind").alias("newer")).agg(F.count("*").alias("n"))
-    back = steps.select("field", F.col("newer").alias("older"), F.col("older").alias("newer"), F.col("n").alias("m"))
-    both = steps.join(back, ["field", "older", "newer"], "left").withColumn("m", F.coalesce("m", F.lit(0)))
-    return both.where((F.col("n") - F.col("m")) > margin * F.sqrt(F.col("n") + F.col("m"))).select("field", "older", "newer", "n")
-
+    rows = versions.where(F.col("ts").isNotNull()).select("g", "k", "ts", *[m.alias(f"m_{f}") for f, m in fields.items()])
+    ends = lambda pick, f: pick(f"m_{f}", F.when(F.col(f"m_{f}").isNotNull(), F.struct("ts", f"m_{f}")))
+    two = rows.groupBy("g", "k").agg(*[x for f in fields for x in (ends(F.min_by, f).alias(f"a_{f}"), ends(F.max_by, f).alias(f"b_{f}"))])
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"a_{f}").alias("a"), F.col(f"b_{f}").alias("b")) for f in fields])
+    moved = two.select(F.explode(each).alias("x")).select("x.*").where("a <> b").select("field", "a", F.col("a").bitwiseXOR(F.col("b")).alias("d"))
+    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(62)), lambda i: F.call_function("getbit", F.col("d"), i) == 1))
+    n = moved.select("field", "a", bit.alias("i")).groupBy("field", "i").agg(F.count_if(F.expr("getbit(a, i) = 0")).alias("won"), F.count_if(F.expr("getbit(a, i) = 1")).alias("lost")).collect()
+    out = {f: (0, 0) for f in fields}
+    for r in n:
+        gain, loss = out[r.field]
+        sure = abs(r.won - r.lost) > margin * (r.won + r.lost) ** 0.5
+        out[r.field] = (gain | (sure and r.won > r.lost) << r.i, loss | (sure and r.won < r.lost) << r.i)
+    return out
 
-def levels(edges: list[tuple[str, int, int, int]]) -> dict[str, dict[int, int]]:
-    """Topological level of each kind per field: the longest chain of older kinds below it.
 
-    Edges enter by falling count; one that would close a circle is left out.
-    """
-    out: dict[str, dict[int, int]] = {}
-    for field in sorted({e[0] for e in edges}):
-        above: dict[int, set[int]] = {}
-
-        def reaches(a: int, b: int, above: dict[int, set[int]] = above) -> bool:
-            seen, todo = set(), [a]
-            while todo:
-                x = todo.pop()
-                if x == b:
-                    return True
-                if x not in seen:
-                    seen.add(x)
-                    todo += above.get(x, ())
-            return False
-
-        for _, old, new, _ in sorted((e for e in edges if e[0] == field), key=lambda e: (-e[3], e[1], e[2])):
-            if not reaches(new, old):
-                above.setdefault(old, set()).add(new)
-        level: dict[int, int] = {}
-        nodes = set(above) | set(chain.from_iterable(above.values()))
-        for _ in nodes:
-            for a in nodes:
-                for b in above.get(a, ()):
-                    level[b] = max(level.get(b, 0), level.get(a, 0) + 1)
-        out[field] = level
-    return out
+def later(a: Column, b: Column) -> Column:
+    """Whether b is later than a, of two values' places in the order (see survivors)."""
+    return (a.bitwiseAND(b) == a) & (a != b)
 
 
 def survivors(df: DataFrame, group: str = "group_key", key: str = "data_id", rank: str = "sort_key", stamp: str = "updated_at", texts: tuple[str, ...] = ("title", "init_path"), sizes: tuple[str, ...] = ("bytes",)) -> DataFrame:
     """The surviving value of each field of each group: ``group, field, key, value``, the key being the record it comes from.
 
-    Of several rows of a record the most current counts. A field's value comes from the record of least rank (null last) among
-    those that have one, then the most current, then the least key. Currency is the stamp; a row without one takes the latest stamp
-    under which the same value stands in its group, else it lies after all stamped rows if its kind's topological level in the learned
-    order is above theirs, else before them; among rows so placed the level decides. No record with a value: no row.
-    Rows with a null group or key are left out. Groups of one record are resolved too; ``n_records`` tells them apart.
+    Of several rows of a record the latest counts, a stamped one before others. A field's value comes from the record of least rank (null last) among
+    those that have one; of several such from the most current; of equally current ones from the least key. Currency is the stamp. Where stamps
+    are missing, it is the group's partial order: of stamped values the latest, a value without stamp counts as stamped where the group has
+    the same one stamped, and otherwise lies where the learned traits put it, which may be nowhere: of values that none is later than the stamped
+    one is taken, then that of the least key. No record with a value: no row. Rows with a null group or key are left out.
+    Groups of one record are resolved too; ``n_records`` tells them apart. Precedence is learned only if some stamp is missing.
 
-    Groups are aggregated (a minimum per field), never collected, so a group may hold any share of the rows. An empty
-    table gives an empty result.
+    Groups are aggregated, never collected, so a group may hold any share of the rows; what is gathered of one is the set of its places in the
+    order, at most 256 for a text and 63 for a size. An empty table gives an empty result.
     """
     fields = [*texts, *sizes]
     base = df.where(F.col(group).isNotNull() & F.col(key).isNotNull()).select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(rank).cast("int").alias("r"), F.col(stamp).cast("timestamp").alias("ts"), *[F.col(f).alias(f"f_{f}") for f in fields])
     ok = {f: text_value(f"f_{f}") for f in texts} | {f: size_value(f"f_{f}") for f in sizes}
-    kind = {f: text_kind(f"f_{f}") for f in texts} | {f: size_kind(f"f_{f}") for f in sizes}
-    learned = levels([tuple(r) for r in precedence(base, {f: (ok[f], kind[f]) for f in fields}).collect()])  # at most 4096 rows a field
-
-    def level(f: str) -> Column:
-        pairs = learned.get(f) or {-1: 0}
-        return F.when(ok[f], F.coalesce(F.element_at(F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())]), kind[f]), F.lit(0))).otherwise(-1)
-
-    # each value judged once: null where it is none, with its level
-    judged = base.select("g", "k", "r", "ts", *[F.when(ok[f], F.col(f"f_{f}").cast("string")).alias(f"v_{f}") for f in fields], *[level(f).alias(f"l_{f}") for f in fields])
-    total = sum((F.col(f"l_{f}") for f in fields[1:]), F.col(f"l_{fields[0]}"))
-    kept = [c for f in fields for c in (f"v_{f}", f"l_{f}")]
-    # one row per record: stamped before unstamped, then the latest, then the highest level, then by content so that ties are settled
+    unstamped = not base.where("ts is null").isEmpty()
+    traits = {f: F.when(ok[f], text_traits(f"f_{f}")) for f in texts} | {f: F.when(ok[f], size_traits(f"f_{f}")) for f in sizes}
+    learned = precedence(base, traits) if unstamped else {f: (0, 0) for f in fields}
+
+    def place(f: str) -> Column:
+        """More bits, more current: gained traits there and lost ones gone."""
+        gain, loss = learned[f]
+        none = F.lit(0).cast("bigint")
+        return F.coalesce(traits[f].bitwiseAND(gain).bitwiseOR(F.bitwise_not(traits[f]).bitwiseAND(loss)), none) if gain or loss else none
+
+    # each value judged once: null where it is none, with its place
+    judged = base.select("g", "k", "r", "ts", *[F.when(ok[f], F.col(f"f_{f}").cast("string")).alias(f"v_{f}") for f in fields], *[place(f).alias(f"o_{f}") for f in fields])
+    total = sum((F.bit_count(f"o_{f}") for f in fields[1:]), F.bit_count(f"o_{fields[0]}"))
+    kept = [c for f in fields for c in (f"v_{f}", f"o_{f}")]
+    # one row per record: stamped before unstamped, then the latest, then the furthest in the order, then by content so that ties are settled
     row = F.struct(F.col("ts").isNotNull().alias("a"), F.coalesce(F.unix_micros("ts"), F.lit(0)).alias("b"), total.alias("c"), *kept, "r", "ts")
     recs = judged.groupBy("g", "k").agg(F.max(row).alias("m")).select("g", "k", "m.r", "m.ts", *[f"m.{c}" for c in kept])
-    long = recs.select("g", "k", "r", "ts", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"v_{f}").alias("value"), F.col(f"l_{f}").alias("lv")) for f in fields])).alias("x")).select("g", "k", "r", "ts", "x.*").where("value is not null")
-    lacking = long.where("ts is null")
-    known = long.where("ts is not null").join(lacking.select("g", "field").distinct(), ["g", "field"], "left_semi")
-    same = known.groupBy("g", "field", "value").agg(F.max(F.unix_micros("ts")).alias("same_ts"))
-    top = known.groupBy("g", "field").agg(F.max("lv").alias("top_lv"))
-    placed = lacking.join(same, ["g", "field", "value"], "left").join(top, ["g", "field"], "left")
-    edge = F.when(F.col("lv") > F.coalesce("top_lv", F.lit(-1)), F.lit(2**62)).otherwise(F.lit(-(2**62)))
-    placed = placed.select("g", "k", "r", "field", "value", "lv", F.coalesce("same_ts", edge).alias("cur"))
-    allrows = long.where("ts is not null").select("g", "k", "r", "field", "value", "lv", F.unix_micros("ts").alias("cur")).unionByName(placed)
-    best = F.min(F.struct(F.coalesce("r", F.lit(FAR)).alias("a"), F.col("r").isNull().alias("a2"), (-F.col("cur")).alias("b"), F.when(F.abs("cur") == 2**62, -F.col("lv")).otherwise(0).alias("c"), F.col("k"), F.col("value")))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"v_{f}").alias("value"), F.col(f"o_{f}").alias("o")) for f in fields])
+    long = recs.select("g", "k", F.struct(F.col("r").isNull().alias("none"), F.coalesce("r", F.lit(0)).alias("r")).alias("r"), F.unix_micros("ts").alias("cur"), F.explode(each).alias("x")).select("g", "k", "r", "cur", "x.*").where("value is not null")
     n = recs.groupBy("g").agg(F.count("*").alias("n_records"))
-    out = allrows.groupBy("g", "field").agg(best.alias("m")).join(n, "g")
+    current = long
+    if unstamped:
+        lead = long.groupBy("g", "field").agg(F.min("r").alias("lead"), F.bool_or(F.col("cur").isNull()).alias("open"))
+        tied = long.join(lead, ["g", "field"]).where("r = lead")
+        same = tied.where("open and cur is not null").groupBy("g", "field", "value").agg(F.max("cur").alias("same"))
+        placed = tied.where("open").join(same, ["g", "field", "value"], "left").withColumn("cur", F.coalesce("cur", "same"))
+        top = placed.groupBy("g", "field").agg(F.max("cur").alias("top"), F.min_by("o", F.when(F.col("cur").isNotNull(), F.struct((-F.col("cur")).alias("a"), "k"))).alias("top_o"), F.collect_set(F.when(F.col("cur").isNull(), F.col("o"))).alias("free"))
+        beaten = F.exists("free", lambda m: later(F.col("o"), m)) | F.coalesce(F.col("cur").isNull() & later(F.col("o"), F.col("top_o")), F.lit(False))
+        stale = F.coalesce(F.col("cur") < F.col("top"), F.lit(False)) | F.exists("free", lambda m: F.coalesce(F.col("cur").isNotNull() & later(F.col("top_o"), m), F.lit(False)))
+        best = placed.join(top, ["g", "field"]).where(~F.when(F.col("cur").isNull(), beaten).otherwise(stale))
+        current = tied.where("not open").select(*long.columns).unionByName(best.select(*long.columns))
+    choice = F.min(F.struct("r", F.col("cur").isNull().alias("free"), (-F.col("cur")).alias("cur"), "k", "value"))
+    out = current.groupBy("g", "field").agg(choice.alias("m")).join(n, "g")
     return out.select(F.col("g").alias(group), "field", F.col("m.k").alias(key), F.col("m.value").alias("value"), "n_records")
