@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.functions.text import blank, looks_native, replacement_damaged
+from shelfmark.functions.text import ORDINARY, blank, looks_native, replacement_damaged
 
 #: Fixed values: (encoding taken, true encoding) in the order they are tried; the filler of a hint's gaps.
 CHAINS = (("latin-1", "gb18030"), ("cp1250", "gb18030"), ("cp1252", "gb18030"), ("latin-1", "big5"))
@@ -53,12 +53,11 @@ def is_mojibake(c: Column | str) -> Column:
 
 
 def _ordinary(c: str) -> bool:
-    o = ord(c)
-    return o < 0x250 and not 0x180 <= o or 0x2000 <= o <= 0x206F or 0x3000 <= o <= 0x30FF or 0x4E00 <= o <= 0x9FFF or 0xFF00 <= o <= 0xFFEF
+    return any(a <= ord(c) <= b for a, b in ORDINARY)
 
 
 def hint(text: str) -> str:
-    """What is left of a damaged text: each odd character's UTF-8 bytes as Chinese where they are, gaps filled."""
+    """What is left of a damaged text: each character that is not ordinary as Chinese where its UTF-8 bytes are, gaps filled."""
     out = []
     for c in text:
         new = c

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 #: The white space that Python's str.strip() takes off (Java's \s knows only ASCII).
 WS = r"\t-\r\x1c-\x20\x85\xa0  -     　"
 
+#: Ranges of characters that ordinary titles have.
+ORDINARY = (
+    (0x20, 0x7E), (0x2010, 0x203B), (0x2044, 0x205E), (0x2160, 0x2183), (0x2600, 0x27BF), (0x3000, 0x303F), (0x3040, 0x30FF), (0x4E00, 0x9FFF), (0xFF01, 0xFF5E), (0xFF5F, 0xFF60), (0xFFE0, 0xFFE6),
+)
+
 #: Everything that is neither letter nor digit.
 NOT_ALNUM = r"[^\p{L}\p{N}]+"
 
@@ -108,8 +113,8 @@ def looks_native(c: Column | str) -> Column:
 
 
 def ordinary_only(c: Column | str) -> Column:
-    """Only code points of everyday European and CJK writing."""
-    return blank(c).rlike(r"^[\u0000-ɏͰ-ӿ -⁯₠-₿℀-↏①-⓿　-ヿ一-鿿가-힯＀-￯]*$")
+    """Only characters that ordinary titles have (ORDINARY); empty and null too."""
+    return blank(c).rlike("^[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ORDINARY) + "]*\\z")
 
 
 def sql_quote(c: Column | str) -> Column:
@@ -118,9 +123,8 @@ def sql_quote(c: Column | str) -> Column:
 
 
 def bat_quote(c: Column | str) -> Column:
-    """A quoted argument of a batch file; the shell's own signs are escaped."""
-    x = F.replace(blank(c), F.lit("%"), F.lit("%%"))
-    return F.concat(F.lit('"'), F.regexp_replace(x, r"([\^&|<>])", r"^$1"), F.lit('"'))
+    """Text for a batch file: the shell's own signs are escaped, all else stays; whoever writes it puts the quotes."""
+    return F.regexp_replace(F.replace(blank(c), F.lit("%"), F.lit("%%")), r"([\^&|<>])", r"^$1")
 
 
 def to_int(c: Column | str, default: int = 0) -> Column:

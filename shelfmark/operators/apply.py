@@ -58,7 +58,52 @@ def bat_lines(plan: DataFrame, root: str, aside: str) -> DataFrame:
     slash = F.translate("relative_path", "/", "\\")
     what = F.when(F.col("whole_book"), F.regexp_replace(slash, r"\\[^\\]*$", "")).otherwise(slash)
     first = plan.select("book_id", "data_id", what.alias("what")).groupBy("what").agg(F.min(F.struct("book_id", "data_id")).alias("seq"))
-    return first.select("seq", F.concat(F.lit("move "), bat_quote(F.concat(F.lit(root + "\\"), F.col("what"))), F.lit(" "), bat_quote(F.lit(aside))).alias("line"))
+    quoted = lambda c: F.concat(F.lit('"'), bat_quote(c), F.lit('"'))
+    return first.select("seq", F.concat(F.lit("move "), quoted(F.concat(F.lit(root + "\\"), F.col("what"))), F.lit(" "), quoted(F.lit(aside))).alias("line"))
+
+
+def rollback_lines(plan: DataFrame, root: str, aside: str) -> DataFrame:
+    """The way back as batch text, ``seq, line``: each folder that files were moved from, at its first file's place, back from where it was put.
+
+    plan: ``book_id, data_id, relative_path, action``; other actions than deleting and putting aside move nothing, nor do rows without a path. Rows without a book come last. Three
+    lines a folder: a remark, the check that it is there, the move.
+    """
+    moved = plan.where(F.col("action").isin("delete_file", "quarantine_file") & (blank("relative_path") != ""))
+    folder = F.regexp_replace(F.translate("relative_path", "\\", "/"), "/?[^/]*$", "")
+    first = moved.select("book_id", "data_id", F.when(folder == "", ".").otherwise(folder).alias("folder")).groupBy("folder").agg(F.min(F.struct(F.col("book_id").isNull().alias("none"), "book_id", F.col("data_id").isNull().alias("no_file"), "data_id")).alias("at"))
+    there, here = (F.concat(F.lit(f'"{p}\\'), bat_quote(F.translate("folder", "/", "\\")), F.lit('"')) for p in (aside, root))
+    lines = F.array(F.concat(F.lit("REM rollback book_id="), blank("at.book_id")), F.concat(F.lit("if not exist "), there, F.lit(" echo SKIP: "), there), F.concat(F.lit("if exist "), there, F.lit(" move /Y "), there, F.lit(" "), here))
+    return first.select("at", "folder", F.posexplode(lines).alias("pos", "line")).select(F.struct("at", "folder", "pos").alias("seq"), "line")
+
+
+def verification_log(expected: DataFrame, present: DataFrame) -> DataFrame:
+    """Each path of a plan with ``status`` missing or existing, in the order of the log: ``log_order, relative_path, status``, missing ones first."""
+    p = present.select(F.col("relative_path").alias("_p")).distinct()
+    j = expected.select("relative_path").where("relative_path is not null").distinct().join(p, F.col("relative_path") == F.col("_p"), "left")
+    there = F.col("_p").isNotNull()
+    return j.select(F.struct(there.alias("later"), "relative_path").alias("log_order"), "relative_path", F.when(there, "existing").otherwise("missing").alias("status"))
+
+
+def copy_plan(wanted: DataFrame, source: DataFrame, target: DataFrame) -> DataFrame:
+    """What copying files comes to, without touching one: ``relative_path, bytes, status``: file_missing, already_synced (there in the same size) or copy.
+
+    All: ``relative_path``; listings with ``actual_bytes``. A repeated path counts once, with its greatest size.
+    """
+    size = lambda d, n: d.groupBy(F.col("relative_path").alias(f"_{n}")).agg(F.max("actual_bytes").alias(n))
+    w = wanted.select("relative_path").where("relative_path <> ''").distinct()
+    j = w.join(size(source, "s"), F.col("relative_path") == F.col("_s"), "left").join(size(target, "t"), F.col("relative_path") == F.col("_t"), "left")
+    return j.select("relative_path", F.col("s").alias("bytes"), F.when(F.col("_s").isNull(), "file_missing").when(F.col("s").eqNullSafe(F.col("t")) & F.col("_t").isNotNull(), "already_synced").otherwise("copy").alias("status"))
+
+
+def affected_rows(data: DataFrame, books: DataFrame, parent: str = "book") -> DataFrame:
+    """``book, n_files`` of the named books that have files."""
+    return data.join(books.select(F.col("id").alias("_b")).distinct(), F.col(parent) == F.col("_b"), "left_semi").groupBy(F.col(parent).alias("book")).agg(F.count("*").alias("n_files"))
+
+
+def preview(title_handoffs: DataFrame, basename_handoffs: DataFrame) -> DataFrame:
+    """``what, n_auto, n_manual``: how many repairs can be made and how many are left to people; titles count by book, base names by file."""
+    one = lambda d, what, key: d.groupBy(key).agg(F.bool_or(F.col("status") == "update_file").alias("a")).agg(F.count_if("a").alias("n_auto"), F.count_if(~F.col("a")).alias("n_manual")).select(F.lit(what).alias("what"), "n_auto", "n_manual")
+    return one(title_handoffs, "title", "id").unionByName(one(basename_handoffs, "file_basename", "id"))
 
 
 def update_names(df: DataFrame, new: DataFrame, column: str, unique: list[str]) -> tuple[DataFrame, DataFrame]:

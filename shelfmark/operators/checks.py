@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import blank, normalize
+from shelfmark.operators.reports import examples
 from shelfmark.sources.library import Library
 
 
@@ -47,7 +48,9 @@ def find_files(expected: DataFrame, listing: DataFrame) -> DataFrame:
     files = parts(listing.select("relative_path").distinct())
     exact = files.select(F.col("relative_path").alias("_hit"))
     per = files.groupBy(F.col("_dir").alias("_d2"), F.col("_ext").alias("_e2")).agg(F.count("*").alias("_n"))
-    named = e.join(files.select(F.col("_dir").alias("_d3"), F.col("_ext").alias("_e3"), F.col("_name").alias("_n3")), (F.col("_dir") == F.col("_d3")) & (F.col("_ext") == F.col("_e3")))
+    # names are probed only where neither the exact path nor a single file answers
+    open_ = e.join(exact, F.col("relative_path") == F.col("_hit"), "left_anti").join(per.where("_n > 1"), (F.col("_dir") == F.col("_d2")) & (F.col("_ext") == F.col("_e2")), "left_semi")
+    named = open_.join(files.select(F.col("_dir").alias("_d3"), F.col("_ext").alias("_e3"), F.col("_name").alias("_n3")), (F.col("_dir") == F.col("_d3")) & (F.col("_ext") == F.col("_e3")))
     t, n3, own = normalize("title"), normalize("_n3"), normalize("_name")
     named = named.where(((t != "") & n3.contains(t)) | ((own != "") & n3.contains(own))).groupBy("data_id").agg(F.count("*").alias("_m"))
     j = e.join(exact, F.col("relative_path") == F.col("_hit"), "left").join(per, (F.col("_dir") == F.col("_d2")) & (F.col("_ext") == F.col("_e2")), "left").join(named, "data_id", "left")
@@ -55,6 +58,28 @@ def find_files(expected: DataFrame, listing: DataFrame) -> DataFrame:
     return j.select(*expected.columns, how.alias("found_by"))
 
 
+def diagnose(found: DataFrame, listing: DataFrame, n: int = 20) -> DataFrame:
+    """The first n missing files by path with what lies in their folder: ``relative_path, n_siblings, siblings`` (the first five names)."""
+    folder = lambda c: F.regexp_extract(c, r"^(.*)/[^/]*$", 1)
+    gone = found.where("found_by in ('missing', 'ambiguous')").select("relative_path").distinct().orderBy("relative_path").limit(n).withColumn("_dir", folder("relative_path"))
+    near = listing.select("relative_path").distinct().select(folder("relative_path").alias("_d"), F.regexp_extract("relative_path", r"([^/]*)$", 1).alias("_name")).join(gone.select(F.col("_dir").alias("_g")).distinct(), F.col("_d") == F.col("_g"), "left_semi")
+    first = examples(near, ["_d"], ["_name"]).groupBy("_d").agg(F.array_sort(F.collect_list("_name")).alias("siblings"))
+    counts = near.groupBy(F.col("_d").alias("_c")).agg(F.count("*").alias("n_siblings"))
+    return gone.join(first, F.col("_dir") == F.col("_d"), "left").join(counts, F.col("_dir") == F.col("_c"), "left").select("relative_path", F.coalesce("n_siblings", F.lit(0)).alias("n_siblings"), F.coalesce("siblings", F.array().cast("array<string>")).alias("siblings"))
+
+
+def three_way(planned: DataFrame, written: DataFrame, before: DataFrame, after: DataFrame, key: str = "id") -> DataFrame:
+    """``check, n``: ids planned but not written as SQL, written but not planned, planned and still there, gone without a plan. All zero is sound."""
+    ids = lambda d: d.select(key).where(F.col(key).isNotNull()).distinct()
+    p, w, b, a = ids(planned), ids(written), ids(before), ids(after)
+    facts = {"planned_not_written": p.join(w, key, "left_anti"), "written_not_planned": w.join(p, key, "left_anti"), "still_there": p.join(a, key, "left_semi"), "gone_without_plan": b.join(a, key, "left_anti").join(p, key, "left_anti")}
+    out = None
+    for name, d in facts.items():
+        one = d.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def missing_share(found: DataFrame) -> float:
     r = found.agg(F.count("*").alias("n"), F.count_if(F.col("found_by").isin("missing", "ambiguous")).alias("m")).first()
     return r.m / r.n if r.n else 0.0

@@ -172,25 +172,27 @@ def diff_dictionary(source: DataFrame, target: DataFrame, key: str) -> DataFrame
     return j.select("dict_key", F.col("s.id").alias("source_id"), F.col("t.id").alias("target_id"), status.alias("status"), action.alias("action"))
 
 
-def book_map(matches: DataFrame) -> DataFrame:
-    """``source_book, target_book``: the first match per source book that is the first of its target book too."""
-    m = matches.where("book_id is not null and target_book_id is not null")
-    a = m.groupBy("book_id").agg(F.min_by("target_book_id", "data_id").alias("target_book_id"))
-    b = a.groupBy("target_book_id").agg(F.min("book_id").alias("book_id"))
-    return b.select(F.col("book_id").alias("source_book"), F.col("target_book_id").alias("target_book"))
+def book_maps(matches: DataFrame, order: str = "data_id") -> tuple[DataFrame, DataFrame]:
+    """Both directions, ``source_book, target_book`` each: the first match of every source book, and the first of every target book.
+
+    The first by ``order`` counts, with or without a partner; so several source books may lead to one target, which leads back to one of them.
+    """
+    first = lambda key, other: matches.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(order, F.col(other).isNull().alias("none"), other)).alias("m")).select(key, F.col(f"m.{other}").alias(other))
+    named = lambda d: d.select(F.col("book_id").alias("source_book"), F.col("target_book_id").alias("target_book"))
+    return named(first("book_id", "target_book_id")), named(first("target_book_id", "book_id"))
 
 
 def diff_children(source: DataFrame, target: DataFrame, books: DataFrame, key: str, value: str) -> DataFrame:
     """Diff of rows that hang on mapped books: ``source_book, target_book, child_key, source_value, target_value, status``.
 
     Children: ``book`` and the two columns; of equal (book, key) the least value counts. Source books without a partner give
-    source_only; target books no source book maps to are left out.
+    source_only, target books no source book maps to target_only with a null source book.
     """
     s = source.groupBy(F.col("book").alias("source_book"), F.lower(F.trim(F.col(key).cast("string"))).alias("child_key")).agg(F.min(value).alias("source_value")).join(books, "source_book", "left")
     t = target.groupBy(F.col("book").alias("target_book"), F.lower(F.trim(F.col(key).cast("string"))).alias("child_key")).agg(F.min(value).alias("target_value"))
-    mapped = t.join(books, "target_book").withColumnRenamed("source_book", "_s").withColumnRenamed("target_book", "_t").withColumnRenamed("child_key", "_k")
-    j = s.join(mapped, (s["source_book"] == F.col("_s")) & s["child_key"].eqNullSafe(F.col("_k")), "full_outer")
-    status = F.when(F.col("_s").isNull(), "source_only").when(s["source_book"].isNull(), "target_only").when(F.col("source_value").eqNullSafe(F.col("target_value")), "same").otherwise("conflict")
+    mapped = t.join(books.where("target_book is not null"), "target_book", "left").withColumnRenamed("source_book", "_s").withColumnRenamed("target_book", "_t").withColumnRenamed("child_key", "_k")
+    j = s.join(mapped.withColumn("_t_has", F.lit(True)), (s["source_book"] == F.col("_s")) & s["child_key"].eqNullSafe(F.col("_k")), "full_outer")
+    status = F.when(F.col("_t_has").isNull(), "source_only").when(s["source_book"].isNull(), "target_only").when(F.col("source_value").eqNullSafe(F.col("target_value")), "same").otherwise("conflict")
     return j.select(F.coalesce(s["source_book"], "_s").alias("source_book"), F.coalesce(s["target_book"], "_t").alias("target_book"), F.coalesce("child_key", "_k").alias("child_key"), "source_value", "target_value", status.alias("status"))
 
 

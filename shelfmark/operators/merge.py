@@ -72,6 +72,17 @@ def apply(lib: Library, plan_rows: DataFrame) -> Library:
     return out
 
 
+def unknown_origin(prefix: Column | None = None) -> Column:
+    """The block of books whose path says that their origin is unknown; null for all others. Such blocks are for people."""
+    p = path_prefix() if prefix is None else prefix
+    return F.when(F.startswith(p, F.lit(UNKNOWN_PREFIX)), p)
+
+
+def review_groups(books: DataFrame, data: DataFrame, prefix: Column | None = None) -> DataFrame:
+    """The plan for books of unknown origin, as groups numbered U0001 on; nothing of it is applied."""
+    return numbered(plan(books, data, unknown_origin(prefix)), "U")
+
+
 def merge(lib: Library) -> tuple[Library, DataFrame, DataFrame]:
     """By path prefix, then by title and author on the result: the library and both plans. Blocks of unknown origin are left for people."""
     known = F.when(~F.startswith(path_prefix(), F.lit(UNKNOWN_PREFIX)), path_prefix())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("problems", "cleaning", "linking")
+MODULES = ("problems", "cleaning", "linking", "reporting")
 
 
 def modules() -> list[ModuleType]:

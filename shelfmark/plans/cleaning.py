@@ -251,9 +251,11 @@ def stable_ids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "manual_reviews").select("review_id", stable_id("batch", "book_id", "data_id", "reason_code", "matched_value").alias("stable_id"))
 
 
-@query()
+_UUID = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(batch || '|' || coalesce(book_id::VARCHAR, '') || '|' || coalesce(data_id::VARCHAR, '') || '|' || coalesce(reason_code, '')))"
+
+
+@query(f"SELECT review_id, substr({_UUID}, 1, 12) || '5' || substr({_UUID}, 14, 3) AS sync_id FROM manual_reviews")
 def sync_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Name-based UUIDs: DuckDB has none; tested against Python's uuid5."""
     return table(spark, d, "manual_reviews").select("review_id", sync_id("batch", "book_id", "data_id", "reason_code").alias("sync_id"))
 
 
@@ -285,7 +287,7 @@ def numeric_text_key(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "manual_reviews").select("review_id", text.to_int("book_id").alias("book"), text.to_int("human_decision", 10**12).alias("sort_key"))
 
 
-@query("SELECT id, '''' || replace(coalesce(title, ''), '''', '''''') || '''' AS literal, '\"' || regexp_replace(replace(coalesce(title, ''), '%', '%%'), '([\\^&|<>])', '^\\1', 'g') || '\"' AS argument FROM books")
+@query("SELECT id, '''' || replace(coalesce(title, ''), '''', '''''') || '''' AS literal, regexp_replace(replace(coalesce(title, ''), '%', '%%'), '([\\^&|<>])', '^\\1', 'g') AS argument FROM books")
 def quoting(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "books").select("id", text.sql_quote("title").alias("literal"), text.bat_quote("title").alias("argument"))
 
@@ -342,9 +344,14 @@ def title_index(spark: SparkSession, d: str) -> DataFrame:
     return courses.inverted_index(table(spark, d, "scan_batches"), "data_id", ["title", "author"])
 
 
-@query("SELECT id, row_number() OVER (ORDER BY author_sort, id) AS serial FROM books WHERE author_sort IS NOT NULL")
+@query("SELECT id, row_number() OVER (ORDER BY author_sort NULLS FIRST, id) AS serial FROM books")
 def report_serial(spark: SparkSession, d: str) -> DataFrame:
-    return with_surrogate(table(spark, d, "books").where("author_sort is not null").select("id", "author_sort"), "serial", ["author_sort", "id"]).select("id", "serial")
+    return with_surrogate(table(spark, d, "books").select("id", "author_sort"), "serial", ["author_sort", "id"]).select("id", "serial")
+
+
+@query(f"SELECT id, regexp_full_match(coalesce(title, ''), '[{''.join(f'\\x{{{a:x}}}-\\x{{{b:x}}}' for a, b in text.ORDINARY)}]*') AS ordinary FROM books")
+def ordinary_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "books").select("id", text.ordinary_only("title").alias("ordinary"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

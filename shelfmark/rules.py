@@ -15,9 +15,10 @@ JUNK_KEYWORDS = (
 COPY_MARKERS = ("副本", "Fu Ben")
 UNKNOWN_MARKERS = ("Wei Zhi", "Unknown", "Untitled")
 REASON_ORDER = {"title_junk_keyword": 1, "duplicate_title_ext_bytes": 2, "non_target_format": 3, "title_mojibake": 4, "title_copy": 5, "file_basename_unknown": 7}
+REASON_DETAILS = {"title_mojibake": "title 字段疑似乱码", "title_copy": "title 字段出现副本标记", "file_basename_unknown": "file_basename 未正确识别"}
+# The prefix of paths of unknown origin; actions of cleaning, of a merge, those without an operation; policies for conflicts.
 UNKNOWN_PREFIX = "未知/"
 CLEAN_ACTIONS = ("delete_file", "quarantine_file", "update_metadata", "keep")
-SYNC_ACTIONS = ("insert_book", "insert_data", "fill_missing_metadata", "merge_metadata", "keep_target", "report_only")
 NOOP_ACTIONS = ("keep_target", "report_only")
 POLICIES = ("fill-missing", "keep-target", "overwrite", "report-only")
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-
 #: Relations of a library: name -> DDL; further columns are kept as they are.
 LIBRARY = {
     "books": "id long, title string, sort string, author_sort string, path string",
@@ -23,7 +21,14 @@ LIBRARY = {
 #: Reports: columns in their order; all are text in files.
 AUTO_CANDIDATE = ["batch", "book_id", "data_id", "title", "file_basename", "ext", "bytes", "relative_path", "reason_code", "reason_detail", "matched_value", "recommended_action", "custom_column_1_value"]
 CANDIDATE = ["candidate_id", *AUTO_CANDIDATE]
-MERGE_PLAN = ["merge_group", "path_prefix", "winner_book_id", "winner_path", "winner_format_count", "loser_book_id", "loser_path", "loser_formats", "moved_data_ids", "duplicate_data_ids", "merge_type"]
+MANUAL_REVIEW = [
+    "review_id", "batch", "book_id", "data_id", "title", "file_basename", "ext", "bytes", "relative_path", "reason_code", "reason_detail", "matched_value", "recommended_action", "custom_column_1_value",
+    *[f"step2_repair_title_{c}" for c in ("repair_status", "repair_reason", "repair_note", "candidate")], *[f"step2_repair_basename_{c}" for c in ("repair_status", "repair_reason", "repair_note", "candidate")],
+    "partial_hint", "human_decision", "human_title", "human_file_basename", "human_note",
+]
+ENCODE_REPAIR = ["table", "column", "row_id", "book_id", "value", "repaired", "init_path", "status"]
+TITLE_REPAIR = ["book_id", "original_title", "title_candidate", "status", "reason_code", "reason_detail", "init_path"]
+BASENAME_REPAIR = ["book_id", "data_id", "original_file_basename", "format", "file_basename_candidate", "status", "reason_code", "reason_detail", "init_path"]
 
 #: Dictionaries with their link tables: dictionary -> (value column, link table, link column, several values per book).
 LINKS = {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.text import date_key
+from shelfmark.schemas import BASENAME_REPAIR, ENCODE_REPAIR, TITLE_REPAIR
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -26,6 +27,48 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
+def _number(c: str) -> F.Column:
+    return F.col(c).try_cast("bigint")
+
+
+def read_encode_repairs(spark: SparkSession, path: str) -> DataFrame:
+    """The deletions of an edited report of garbled values: ``table, column, row_id, book_id, value, init_path``.
+
+    Only rows with status delete_file count. The book is the one named, else the one in the repaired text (``book_id=N``), else the row itself.
+    """
+    raw = read_csv(spark, path, ENCODE_REPAIR).where("status = 'delete_file'")
+    noted = F.regexp_extract(F.coalesce("repaired", F.lit("")), r"book_id=(\d+)", 1).try_cast("bigint")
+    return raw.select("table", "column", _number("row_id").alias("row_id"), F.coalesce(_number("book_id"), noted, _number("row_id")).alias("book_id"), "value", F.coalesce("init_path", F.lit("")).alias("init_path"))
+
+
+def read_title_repairs(spark: SparkSession, path: str) -> DataFrame:
+    """An edited report of title repairs, typed; rows without a book are left out."""
+    raw = read_csv(spark, path, TITLE_REPAIR)
+    return raw.withColumn("book_id", _number("book_id")).where("book_id is not null").withColumnRenamed("title_candidate", "candidate")
+
+
+def read_basename_repairs(spark: SparkSession, path: str) -> DataFrame:
+    """An edited report of base-name repairs, typed; rows without a file are left out."""
+    raw = read_csv(spark, path, BASENAME_REPAIR)
+    return raw.withColumn("book_id", _number("book_id")).withColumn("data_id", _number("data_id")).where("data_id is not null").withColumnRenamed("file_basename_candidate", "candidate")
+
+
+def snapshot(df: DataFrame, path: str, by: dict[str, str], **more: int) -> dict:
+    """Writes totals as JSON: ``total``, and for each name in ``by`` the counts of a column's values. Columns of few values only."""
+    out: dict = {"total": df.count(), **more}
+    for name, column in by.items():
+        out[name] = {str(r[0]): r[1] for r in df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit(""))).count().collect()}
+    write_json(out, path)
+    return out
+
+
+def require(spark: SparkSession, paths: dict[str, str]) -> None:
+    """Raises with the names of all inputs that are missing."""
+    gone = [f"{n}: {p}" for n, p in paths.items() if not exists(spark, p)]
+    if gone:
+        raise FileNotFoundError("missing " + "; ".join(gone))
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str], order: list[str] | None = None) -> None:
     """A report as a folder of CSV parts with header; missing columns and nulls are empty. Sorted if an order is given."""
     out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
@@ -49,9 +92,9 @@ def write_bom_csv(df: DataFrame, path: str, columns: list[str]) -> int:
 
 
 def write_by_reason(df: DataFrame, path: str, columns: list[str], reasons: list[str], key: str = "reason_code") -> None:
-    """A report per reason; a reason without rows gets an empty one."""
-    for r in reasons:
-        write_csv(df.where(F.col(key) == r), f"{path}/{r}", columns)
+    """A report per reason in ``path/<key>=<reason>``, in one pass over the rows; a reason without rows has no folder and is read as empty."""
+    out = df.where(F.col(key).isin(reasons)).select(F.col(key).alias("_reason"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
+    out.withColumnRenamed("_reason", f"{key}_" if key in columns else key).write.mode("overwrite").partitionBy(f"{key}_" if key in columns else key).csv(path, header=True, escape='"', emptyValue="")
 
 
 def write_text(lines: DataFrame, path: str, line: str = "line", order: str = "seq") -> None:
@@ -72,9 +115,9 @@ def latest(names: list[str]) -> str | None:
     return max(dated)[1] if dated else None
 
 
-def first_existing(paths: list[str]) -> str | None:
-    """First path of a list in order of preference that exists."""
-    return next((p for p in paths if os.path.exists(p)), None)
+def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
+    """First path of a list in order of preference that exists, on any file system."""
+    return next((p for p in paths if exists(spark, p)), None)
 
 
 def with_batch(df: DataFrame) -> DataFrame:

@@ -97,6 +97,20 @@ class Library(Mapping[str, DataFrame]):
         f = self.book_files().join(self.init_paths().withColumnRenamed("book", "book_id"), "book_id", "left")
         return f.select("book_id", "data_id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"), F.coalesce("init_path", F.lit("")).alias("init_path"), relative_path("book_path", "file_basename", "format").alias("relative_path"), F.lower(F.trim(F.coalesce("format", F.lit("")))).alias("ext"))
 
+    def found_files(self, listing: DataFrame, batch: str | None = None) -> DataFrame:
+        """Files with source paths and what was found on disk: ``batch, book_id, data_id, title, file_basename, ext, bytes, relative_path, custom_column_1_value,
+        file_exists, actual_bytes``. listing: ``relative_path, actual_bytes``; of a repeated path the greatest size counts."""
+        paths = self.init_paths().withColumnRenamed("book", "book_id").withColumnRenamed("init_path", "custom_column_1_value")
+        files = self.book_files().join(paths, "book_id", "left").withColumn("relative_path", relative_path("book_path", "file_basename", "format"))
+        disk = listing.groupBy(F.col("relative_path").alias("_p")).agg(F.max("actual_bytes").alias("actual_bytes"))
+        j = files.join(disk, F.col("relative_path") == F.col("_p"), "left")
+        return j.select(F.lit(batch).cast("string").alias("batch"), "book_id", "data_id", "title", "file_basename", F.lower(F.trim(F.coalesce("format", F.lit("")))).alias("ext"), "bytes", "relative_path", F.coalesce("custom_column_1_value", F.lit("")).alias("custom_column_1_value"), F.col("_p").isNotNull().alias("file_exists"), "actual_bytes")
+
+    def copy(self, path: str, spark: SparkSession) -> Library:
+        """A library without history starts as a copy of this one at the path."""
+        self.save(path)
+        return Library.load(spark, path)
+
     def delete(self, data_ids: DataFrame, book_ids: DataFrame | None = None) -> Library:
         """Without the files whose ``id`` is named and the books named, and without what hangs on no book any more.
 

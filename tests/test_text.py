@@ -34,7 +34,7 @@ def test_golden(spark):
     names = ["metadata-20260923.encoded.db", "metadata.merged.db", "metadata-full-20260713.db", None]
     assert column(spark, names, text.date_key) == ["2026-09-23", None, "2026-07-13", None]
     assert column(spark, ["100", "x", None, "7"], text.to_int) == [100, 0, 0, 7]
-    assert column(spark, ["a&b%", "x"], text.bat_quote) == ['"a^&b%%"', '"x"']
+    assert column(spark, ["a&b%", "x", "a^b|<>", None], text.bat_quote) == ["a^&b%%", "x", "a^^b^|^<^>", ""]
     assert column(spark, ["it's", None], text.sql_quote) == ["'it''s'", "''"]
     assert column(spark, ["A ", None], text.sync_key) == ["a", "none"]
 
