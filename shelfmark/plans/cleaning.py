@@ -160,13 +160,24 @@ def copy_marker_handoff(spark: SparkSession, d: str) -> DataFrame:
     return anomaly.title_handoffs(table(spark, d, "books").select("id", "title"), paths, WORDS).select("id", "reason_code", "candidate", "status")
 
 
+_DICT = "SELECT {0} AS target, '{1}' AS \"table\", 'name' AS \"column\", row_number() OVER (ORDER BY v) AS row_id, v AS value FROM (SELECT DISTINCT {2} AS v FROM {3}) WHERE v <> ''"
+
+
 @query(
-    """SELECT 0 AS target, 'books' AS "table", 'title' AS "column", id AS row_id, title AS value FROM books WHERE title <> '' UNION ALL SELECT 1, 'books', 'sort', id, sort FROM books WHERE sort <> ''
+    f"""SELECT 0 AS target, 'books' AS "table", 'title' AS "column", id AS row_id, title AS value FROM books WHERE title <> '' UNION ALL SELECT 1, 'books', 'sort', id, sort FROM books WHERE sort <> ''
     UNION ALL SELECT 2, 'books', 'author_sort', id, author_sort FROM books WHERE author_sort <> '' UNION ALL SELECT 10, 'data', 'name', id, name FROM data_rows WHERE name <> ''
-    UNION ALL SELECT 11, 'books', 'path', id, path FROM books WHERE path <> ''"""
+    UNION ALL SELECT 11, 'books', 'path', id, path FROM books WHERE path <> '' UNION ALL {_DICT.format(3, "authors", "trim(author_sort)", "books")} UNION ALL {_DICT.format(5, "series", "trim(series)", "scan_compare")}
+    UNION ALL {_DICT.format(7, "publishers", "trim(publisher)", "scan_compare")} UNION ALL {_DICT.format(9, "tags", "trim(t)", "(SELECT unnest(string_split(tags, ';')) AS t FROM scan_compare)")}
+    UNION ALL SELECT target + 1, "table", 'sort', row_id, upper(value) FROM ({_DICT.format(3, "authors", "trim(author_sort)", "books")} UNION ALL {_DICT.format(5, "series", "trim(series)", "scan_compare")} UNION ALL {_DICT.format(7, "publishers", "trim(publisher)", "scan_compare")})"""
 )
 def unpivot_scan(spark: SparkSession, d: str) -> DataFrame:
-    return anomaly.unpivot(library(spark, d))
+    """All twelve columns; the dictionaries are made from the tables' texts, with upper case as the sort name."""
+    scan = table(spark, d, "scan_compare")
+    names = {"authors": table(spark, d, "books").select(F.trim("author_sort").alias("name")), "tags": scan.select(F.explode(F.split("tags", ";")).alias("name")).select(F.trim("name").alias("name"))}
+    names |= {n: scan.select(F.trim(c).alias("name")) for n, c in (("series", "series"), ("publishers", "publisher"))}
+    rows = {n: with_surrogate(v.where("name <> ''").distinct(), "id", ["name"]) for n, v in names.items()}
+    rows = {n: v if n == "tags" else v.withColumn("sort", F.upper("name")) for n, v in rows.items()}
+    return anomaly.unpivot(library(spark, d).replace(**rows))
 
 
 @query()
@@ -331,12 +342,9 @@ def data_ids_by_book(spark: SparkSession, d: str) -> DataFrame:
     return anomaly.ids_by_book(table(spark, d, "data_rows"))
 
 
-@query(
-    r"""WITH p AS (SELECT DISTINCT relative_path, title FROM scan_batches) SELECT relative_path, split_part(relative_path, '/', 1) AS dir_1, nullif(split_part(relative_path, '/', 2), '') AS dir_2 FROM p"""
-)
+@query("WITH p AS (SELECT DISTINCT relative_path FROM scan_batches) SELECT relative_path, split_part(coalesce(relative_path, ''), '/', 1) AS dir_1, " + ", ".join(f"list_extract(string_split(coalesce(relative_path, ''), '/'), {i}) AS dir_{i}" for i in range(2, 7)) + " FROM p")
 def course_paths(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "scan_batches").select("relative_path", "title").distinct()
-    return p.select("relative_path", *courses.split_path("relative_path", 2))
+    return table(spark, d, "scan_batches").select("relative_path").distinct().select("relative_path", *courses.split_path("relative_path"))
 
 
 @query("SELECT term, data_id, count(*) AS n FROM (SELECT data_id, unnest(string_split_regex(lower(concat_ws(' ', title, author)), '[^\\p{L}\\p{N}]+')) AS term FROM scan_batches) WHERE term <> '' GROUP BY 1, 2")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import codec, text
@@ -189,27 +189,48 @@ def affected_rows(spark: SparkSession, d: str) -> DataFrame:
     return apply.affected_rows(table(spark, d, "data_rows"), table(spark, d, "books").where("deleted_at is not null"))
 
 
+def _author() -> Column:
+    return F.nullif(F.lower(F.trim("author_sort")), F.lit(""))
+
+
 _MERGE = """d AS (SELECT id AS data_id, book AS book_id, upper(trim(coalesce(format, ''))) AS format FROM data_rows WHERE book IS NOT NULL), n AS (SELECT book_id, count(*) AS n FROM d GROUP BY 1),
     s AS (SELECT b.book_id, b.block, coalesce(n.n, 0) AS n, row_number() OVER (PARTITION BY b.block ORDER BY coalesce(n.n, 0) DESC, b.book_id) AS rank, count(*) OVER (PARTITION BY b.block) AS books FROM b LEFT JOIN n ON b.book_id = n.book_id),
     w AS (SELECT block, book_id AS winner_id FROM s WHERE rank = 1 AND books > 1), l AS (SELECT s.block, winner_id, s.book_id AS loser_id, d.data_id, d.format FROM s JOIN w ON s.block = w.block LEFT JOIN d ON d.book_id = s.book_id WHERE s.book_id <> winner_id),
     plan AS (SELECT l.*, data_id IS NOT NULL AND format <> '' AND NOT EXISTS (SELECT 1 FROM d WHERE d.book_id = winner_id AND d.format = l.format) AND row_number() OVER (PARTITION BY block, format ORDER BY loser_id, data_id) = 1 AS moved FROM l)"""
 
 
-@query(f"WITH b AS (SELECT id AS book_id, {q.normalize_title('title')} || '|' || lower(trim(coalesce(author_sort, ''))) AS block FROM books WHERE {q.normalize_title('title')} <> ''), {_MERGE} SELECT block, winner_id, loser_id, data_id, format, moved FROM plan")
+#: Books of one author as one block, so that blocks have several books with several files each.
+_BLOCKS = "b AS (SELECT id AS book_id, lower(trim(author_sort)) AS block FROM books WHERE trim(author_sort) <> '')"
+
+
+@query(f"WITH {_BLOCKS}, {_MERGE} SELECT block, winner_id, loser_id, data_id, format, moved FROM plan")
 def merge_plan_books(spark: SparkSession, d: str) -> DataFrame:
     """Books with several files each: most files win, several losers claim one format."""
     lib = library(spark, d)
-    return merge.plan(lib["books"], lib["data"], merge.title_author())
+    return merge.plan(lib["books"], lib["data"], _author())
+
+
+@query(f"WITH {_BLOCKS}, {_MERGE} SELECT r.id, CASE WHEN plan.moved THEN plan.winner_id ELSE r.book END AS book FROM data_rows r LEFT JOIN plan ON r.id = plan.data_id WHERE plan.data_id IS NULL OR plan.moved")
+def merge_apply_books(spark: SparkSession, d: str) -> DataFrame:
+    lib = library(spark, d)
+    return merge.apply(lib, merge.plan(lib["books"], lib["data"], _author()))["data"].select("id", "book")
+
+
+@query(f"WITH {_BLOCKS}, {_MERGE} SELECT data_id, CASE WHEN moved THEN 'quarantine_file' ELSE 'delete_file' END AS action FROM plan WHERE data_id IS NOT NULL")
+def merge_deletions_books(spark: SparkSession, d: str) -> DataFrame:
+    lib = library(spark, d)
+    p = merge.plan(lib["books"], lib["data"], _author())
+    return merge.merge_deletions(lib["data"], merge.apply(lib, p)["data"], p)
 
 
 @query(
-    f"""WITH b AS (SELECT id AS book_id, '未知/' || lower(author_sort) AS block FROM books WHERE path LIKE '未知/%'), {_MERGE}
+    f"""WITH b AS (SELECT id AS book_id, '未知/' || coalesce(substr(title, 1, 1), '') AS block FROM books WHERE path LIKE '未知/%'), {_MERGE}
     SELECT 'U' || lpad(dense_rank() OVER (ORDER BY block)::VARCHAR, 4, '0') AS merge_group, winner_id, loser_id, data_id, format, moved FROM plan WHERE block IS NOT NULL"""
 )
 def merge_review_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Books of unknown origin by author, for people."""
+    """Books of unknown origin by the first letter of the title, for people."""
     lib = library(spark, d)
-    prefix = F.when(F.startswith(F.col("path"), F.lit("未知/")), F.concat(F.lit("未知/"), F.lower("author_sort")))
+    prefix = F.when(F.startswith(F.col("path"), F.lit("未知/")), F.concat(F.lit("未知/"), F.substring(text.blank("title"), 1, 1)))
     return merge.review_groups(lib["books"], lib["data"], prefix).select("merge_group", "winner_id", "loser_id", "data_id", "format", "moved")
 
 
