@@ -281,7 +281,7 @@ def test_currency_query(spark, data):
     assert {x[:2] for x in a} == {x[:2] for x in b} and a != b
 
 
-@pytest.mark.parametrize("name", ["p1_found", "p3_found"])
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p5_found"])
 def test_queries_equal_sql(spark, duck, data, name):
     from shelfmark.llm import queries
 
