@@ -22,6 +22,11 @@ def sync_id(*parts: Column | str) -> Column:
     return F.concat(F.substring(h, 1, 12), F.lit("5"), F.substring(h, 14, 3))
 
 
+def random_id() -> Column:
+    """A random identifier for a new row; it differs from run to run, so nothing may depend on it."""
+    return F.expr("uuid()")
+
+
 def with_surrogate(df: DataFrame, name: str, order: list[str], start: int = 0, partitions: int | None = None) -> DataFrame:
     """Adds consecutive ids from start + 1 in the given order.
 

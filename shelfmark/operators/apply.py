@@ -95,6 +95,17 @@ def copy_plan(wanted: DataFrame, source: DataFrame, target: DataFrame) -> DataFr
     return j.select("relative_path", F.col("s").alias("bytes"), F.when(F.col("_s").isNull(), "file_missing").when(F.col("s").eqNullSafe(F.col("t")) & F.col("_t").isNotNull(), "already_synced").otherwise("copy").alias("status"))
 
 
+def note_lines(rows: DataFrame) -> DataFrame:
+    """A plan that is only remarks: ``seq, line`` of rows with ``sync_id, action, source_book_id, target_book_id``."""
+    part = lambda name, c: F.concat(F.lit(f" {name}="), F.coalesce(F.col(c).cast("string"), F.lit("-")))
+    return rows.select(F.col("sync_id").alias("seq"), F.concat(F.lit("-- sync_id="), blank("sync_id"), part("action", "action"), part("source_book", "source_book_id"), part("target_book", "target_book_id")).alias("line"))
+
+
+def dry_run(plan: DataFrame, status: str = "status") -> DataFrame:
+    """What of a plan a dry run shows: all but the changes that would be made by themselves; a null status is shown."""
+    return plan.where(~F.col(status).eqNullSafe(F.lit("update_file")))
+
+
 def affected_rows(data: DataFrame, books: DataFrame, parent: str = "book") -> DataFrame:
     """``book, n_files`` of the named books that have files."""
     return data.join(books.select(F.col("id").alias("_b")).distinct(), F.col(parent) == F.col("_b"), "left_semi").groupBy(F.col(parent).alias("book")).agg(F.count("*").alias("n_files"))
@@ -130,7 +141,11 @@ def update_names(df: DataFrame, new: DataFrame, column: str, unique: list[str])
 
 
 def verify(before: Library, after: Library, data_ids: DataFrame) -> dict[str, int]:
-    """Counts of an applied deletion: planned, gone, still there, added. fully_executed is 1 if all agree."""
+    """Counts of an applied deletion: planned, gone, still there, added, books gone and to be expected to. fully_executed is 1 if all agree.
+
+    A book is expected to go if all its files do.
+    """
     b, a, p = before["data"].select("id"), after["data"].select("id"), data_ids.select("id").distinct()
     out = {"planned": p.count(), "removed": b.join(a, "id", "left_anti").count(), "remaining": p.join(a, "id", "left_semi").count(), "added": a.join(b, "id", "left_anti").count(), "books_removed": before["books"].select("id").join(after["books"].select("id"), "id", "left_anti").count()}
-    return out | {"fully_executed": int(out["planned"] == out["removed"] and not out["remaining"] and not out["added"])}
+    out["books_expected"] = fully_deleted(before["data"], p).join(before["books"].select(F.col("id").alias("_b")), F.col("book") == F.col("_b"), "left_semi").count()
+    return out | {"fully_executed": int(out["planned"] == out["removed"] and not out["remaining"] and not out["added"] and out["books_removed"] == out["books_expected"])}

@@ -172,6 +172,31 @@ def diff_dictionary(source: DataFrame, target: DataFrame, key: str) -> DataFrame
     return j.select("dict_key", F.col("s.id").alias("source_id"), F.col("t.id").alias("target_id"), status.alias("status"), action.alias("action"))
 
 
+def diff_dictionaries(inc: Library, full: Library) -> DataFrame:
+    """diff_dictionary() of every dictionary that both libraries have, with its name in ``scope``."""
+    out = None
+    for name, (value, *_) in LINKS.items():
+        if name in inc and name in full:
+            d = diff_dictionary(inc[name], full[name], value).select(F.lit(name).alias("scope"), "*")
+            out = d if out is None else out.unionByName(d)
+    if out is None:
+        raise ValueError("the libraries share no dictionary")
+    return out
+
+
+def diff_library_children(inc: Library, full: Library, books: DataFrame) -> DataFrame:
+    """diff_children() of comments (one a book, under the key comment) and identifiers, with ``scope``. books: ``source_book, target_book``."""
+    out = None
+    for name, key, value in (("comments", None, "text"), ("identifiers", "type", "val")):
+        if name in inc and name in full:
+            s, t = (d[name].select("book", (F.col(key) if key else F.lit("comment")).alias("key"), F.col(value).alias("value")) for d in (inc, full))
+            d = diff_children(s, t, books, "key", "value").select(F.lit(name).alias("scope"), "*")
+            out = d if out is None else out.unionByName(d)
+    if out is None:
+        raise ValueError("the libraries share neither comments nor identifiers")
+    return out
+
+
 def book_maps(matches: DataFrame, order: str = "data_id") -> tuple[DataFrame, DataFrame]:
     """Both directions, ``source_book, target_book`` each: the first match of every source book, and the first of every target book.
 

@@ -23,6 +23,36 @@ NOOP_ACTIONS = ("keep_target", "report_only")
 POLICIES = ("fill-missing", "keep-target", "overwrite", "report-only")
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Where a batch keeps what its steps write: root/batch/step-N/name."""
+
+    root: str
+    batch: str
+
+    def step(self, n: int) -> str:
+        return f"{self.root.rstrip('/')}/{self.batch}/step-{n}"
+
+    def path(self, n: int, name: str) -> str:
+        return f"{self.step(n)}/{name}"
+
+    def shown(self, path: str) -> str:
+        """A path as people read it: below the root without it."""
+        return path.removeprefix(self.root.rstrip("/") + "/")
+
+
+def load_targets(path: str) -> tuple[tuple[str, str], ...]:
+    """Scanned columns from a JSON list of objects with table and column."""
+    with open(path, encoding="utf-8") as f:
+        return tuple((t["table"], t["column"]) for t in json.load(f))
+
+
+def load_actions(path: str) -> dict[str, tuple[str, ...]]:
+    """Valid actions by kind from a JSON object of lists; those named noop are without an operation, whatever the kind."""
+    with open(path, encoding="utf-8") as f:
+        return {k: tuple(v) for k, v in json.load(f).items()}
+
+
 @dataclass(frozen=True)
 class RuleSet:
     """What the cleaning steps look for; every field can be replaced."""

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions import codec, text
+from shelfmark.functions.ids import random_id
 from shelfmark.operators import anomaly, apply, checks, compare, courses, merge, reports
+from shelfmark.rules import Layout, load_actions, load_targets
 from shelfmark.schemas import BASENAME_REPAIR, CANDIDATE, ENCODE_REPAIR, MANUAL_REVIEW, TITLE_REPAIR
 from shelfmark.sources import files
 from shelfmark.sources.library import Library
@@ -155,3 +157,37 @@ def test_copy_plan_and_library(spark, tmp_path):
     new = lib(spark, "Tale", ["t"]).copy(str(tmp_path / "full"), spark)
     assert set(new) == set(lib(spark, "Tale", ["t"])) and new["data"].count() == 2
     assert rows(new.found_files(f([("p/x (1)/n.pdf", 4), ("p/x (1)/n.pdf", 6)]), "b").select("data_id", "file_exists", "actual_bytes")) == [(10, True, 6), (11, False, None)]
+
+
+def test_library_diffs(spark):
+    inc, full = lib(spark, "Tale", ["t", "U"]), lib(spark, "Tale", ["T", "v"])
+    got = rows(compare.diff_dictionaries(inc, full).where("scope = 'tags'").select("dict_key", "status", "action"))
+    assert got == [("t", "conflict", "merge_metadata"), ("u", "source_only", "insert"), ("v", "target_only", "keep_target")]
+    assert rows(compare.diff_dictionaries(inc, full).where("scope = 'authors'").select("dict_key", "status")) == [("ann", "same"), ("bob", "same")]
+    books = spark.createDataFrame([(1, 1), (2, None)], "source_book long, target_book long")
+    changed = full.replace(identifiers=spark.createDataFrame([(1, 1, "isbn", "8"), (2, 2, "doi", "4")], "id long, book long, type string, val string"))
+    assert rows(compare.diff_library_children(inc, changed, books).select("scope", "child_key", "status")) == [("comments", "comment", "same"), ("identifiers", "doi", "source_only"), ("identifiers", "doi", "target_only"), ("identifiers", "isbn", "conflict")]
+    with pytest.raises(ValueError):
+        compare.diff_dictionaries(Library({}), full)
+
+
+def test_layout_and_config(spark, tmp_path):
+    at = Layout("/data/", "b1")
+    assert at.path(2, "x.csv") == "/data/b1/step-2/x.csv" and at.shown(at.path(2, "x.csv")) == "b1/step-2/x.csv"
+    (tmp_path / "t.json").write_text('[{"table": "books", "column": "title", "label": "x"}]')
+    (tmp_path / "a.json").write_text('{"noop": ["keep"], "clean": ["delete_file"]}')
+    assert load_targets(str(tmp_path / "t.json")) == (("books", "title"),) and load_actions(str(tmp_path / "a.json"))["noop"] == ("keep",)
+    p = spark.createDataFrame([("s1", "keep", 1, None, "update_file"), ("s2", "x", None, 2, None)], "sync_id string, action string, source_book_id long, target_book_id long, status string")
+    assert [r.line for r in apply.note_lines(p).orderBy("seq").collect()] == ["-- sync_id=s1 action=keep source_book=1 target_book=-", "-- sync_id=s2 action=x source_book=- target_book=2"]
+    assert [r.sync_id for r in apply.dry_run(p).collect()] == ["s2"]
+    ids = spark.range(50).select(random_id().alias("i")).collect()
+    assert len({r.i for r in ids}) == 50 and all(len(r.i) == 36 for r in ids)
+
+
+def test_verify_books(spark):
+    before = lib(spark, "Tale", ["t"])
+    gone = spark.createDataFrame([(10,)], "id long")
+    v = apply.verify(before, before.delete(gone), gone)
+    assert (v["books_removed"], v["books_expected"], v["fully_executed"]) == (1, 1, 1)
+    kept = before.delete(gone).replace(books=before["books"])
+    assert apply.verify(before, kept, gone)["fully_executed"] == 0
