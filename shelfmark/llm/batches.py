@@ -95,8 +95,8 @@ def distinct_signatures(rows: DataFrame) -> DataFrame:
     return one.withColumn("p", pivots(F.col("text")))
 
 
-def agreeing(new: DataFrame, history: DataFrame | None = None, edits: int = EDITS) -> DataFrame:
-    """Pairs of signatures that agree, of new with new (own) and with history: ``sig_n, sig_h, own``.
+def agreeing(new: DataFrame, history: DataFrame | None = None, edits: int = EDITS, within: bool = True) -> DataFrame:
+    """Pairs of signatures that agree, of new with history and, unless within is false, with new (own): ``sig_n, sig_h, own``.
 
     The join key is (same, size range, range of the first pivot distance): each signature of history lies in one range, and those of the new
     side are laid out over the two or three that theirs reach, so a pair meets once. The other pivots and the size prune before the true
@@ -104,9 +104,10 @@ def agreeing(new: DataFrame, history: DataFrame | None = None, edits: int = EDIT
     """
     cols = ["sig", "same", "bytes", "text", "p", "many"]
     range_of = lambda d: F.floor(d / PIVOT_WIDTH).cast("int")
-    known = new.withColumn("own", F.lit(True))
-    if history is not None:
-        known = known.unionByName(history.withColumn("own", F.lit(False)))
+    own = new.where(F.lit(within)).withColumn("own", F.lit(True))
+    known = own if history is None else history.withColumn("own", F.lit(False))
+    if within and history is not None:
+        known = own.unionByName(known)
     h = known.select("own", *[F.col(c).alias(f"{c}_h") for c in cols], _size_range(F.col("bytes")).alias("sr"), range_of(_distance(F.col("p"), 1)).alias("pr"))
     at = _distance(F.col("p"), 1)
     n = new.withColumn("sr", F.explode(_near_sizes(F.col("bytes")))).withColumn("pr", F.explode(F.sequence(range_of(F.greatest(at - edits, F.lit(0))), range_of(at + edits))))
@@ -165,12 +166,15 @@ class PivotTable:
         full = self.spark.read.schema("k long, batch string, sig binary, zone int, same long, bytes long, text string").parquet(at("keys"))
         distinct_signatures(full).sortWithinPartitions("zone", "bytes").write.mode("overwrite").partitionBy("zone").parquet(at("sigs"))
         new = self._read("sigs", [no])
+        # rows of one batch make no pair with each other
+        n, named, least, last = full.agg(F.count("*"), F.count("batch"), F.min("batch"), F.max("batch")).first()
+        within = 0 < named < n or least != last
         history = None
         if old:
             # a size near the edge of its zone reaches the next one; a few dozen zones at most
             reach = new.select(F.explode(_near_sizes(F.col("bytes"))).alias("r")).select(zone(F.col("r")).alias("z")).distinct()
             history = self._read("sigs", old).where(F.col("zone").isin([r.z for r in reach.collect()]))
-        agreeing(new, history).write.mode("overwrite").parquet(at("found"))
+        agreeing(new, history, within=within).write.mode("overwrite").parquet(at("found"))
         done = self.spark._jvm.org.apache.hadoop.fs.Path(at("done"))
         done.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(done)
         return self.check(no, key)

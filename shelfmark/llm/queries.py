@@ -36,8 +36,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "scan_batches")
     first = t.agg(F.min("batch").alias("b")).first().b
     history = batches.PivotTable(spark)
-    pairs = history.add(t.where(F.col("batch") == first))  # empty: a single batch has no pair
-    return pairs.unionByName(history.add(t.where((F.col("batch") != first) | F.col("batch").isNull()))).distinct()
+    history.add(t.where(F.col("batch") == first))  # a single batch has no pair
+    return history.add(t.where((F.col("batch") != first) | F.col("batch").isNull() | F.lit(first is None)))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
