@@ -168,9 +168,11 @@ def _bytes(s: str) -> Iterator[tuple[str, bytes]]:
 def _readings(s: str) -> dict[str, tuple[str, str]]:
     """Every other text that a round trip gives, with its first pair of encodings."""
     out: dict[str, tuple[str, str]] = {}
+    seen: set[bytes] = set()  # tables that agree on the text give the same readings, which bear the first one's name
     for n, b in _bytes(s):
-        if b.isascii():
+        if b.isascii() or b in seen:
             continue
+        seen.add(b)
         for r in INTENDED_WIDE + INTENDED:
             if r != n and (n, r) not in KIN:
                 try:
@@ -206,12 +208,13 @@ def _repair(model: CharModel, pieces: list[tuple[str, str, str]]) -> list[tuple[
         texts, own, paid, chains = [], [], [], []
         for i, states in front.items():
             for now, cost, chain in states:
+                lone = LONE_BITS if sum(x > "\x7f" for x in now) == 1 else 0.0
                 for t, c in _readings(now).items():
                     if t not in seen[i]:
                         seen[i].add(t)
                         texts.append(t)
                         own.append(i)
-                        paid.append(cost + NAMING[c] + (LONE_BITS if c[1] in INTENDED and sum(x > "\x7f" for x in now) == 1 else 0.0))
+                        paid.append(cost + NAMING[c] + (lone if c[1] in INTENDED else 0.0))
                         chains.append((*chain, c))
         if not texts:
             break
