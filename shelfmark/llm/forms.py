@@ -102,7 +102,8 @@ def skeleton(c: Column | str, letters: bool = True) -> Column:
     for k, v in sorted(many.items()):
         y = F.replace(y, F.lit(k), F.lit(v))
     x = F.when(x.rlike("[" + "".join(sorted(many)) + "]"), y).otherwise(x)
-    return F.when(c.rlike(EVERYDAY), x).otherwise(c)
+    # ASCII is told by its length alone, without a look at the characters
+    return F.when(F.octet_length(c) == F.length(c), c).when(c.rlike(EVERYDAY), x).otherwise(c)
 
 
 @functools.cache
